@@ -75,3 +75,35 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int =
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The column as Python texts, null as the empty text."""
     return [t or "" for t in batch.column(name).to_pylist()]
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by `keys`, batches that hold whole groups only: a group that a batch cuts waits for its rest."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        n = batch.num_rows
+        key = [batch.column(k)[n - 1].as_py() for k in keys]
+        last = n - 1
+        while last and [batch.column(k)[last - 1].as_py() for k in keys] == key:
+            last -= 1
+        if not last:  # one group fills the batch: it may go on, and waiting rows may belong to it
+            if waiting and [waiting[-1].column(k)[-1].as_py() for k in keys] != key:
+                yield _joined(waiting)
+                waiting = []
+            waiting.append(batch)
+            continue
+        yield _joined([*waiting, batch.slice(0, last)])
+        waiting = [batch.slice(last)]
+    if waiting:
+        yield _joined(waiting)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
+def by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a key together in one partition, in order of the keys: for groups of bounded size."""
+    return df.repartition(*keys).sortWithinPartitions(*keys)
