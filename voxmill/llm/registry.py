@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from voxmill.llm import chunks, jaccard, toxicity
+from voxmill.llm import chunks, decontaminate, jaccard, toxicity
 
-MODULES = (chunks, jaccard, toxicity)
+MODULES = (decontaminate, chunks, jaccard, toxicity)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE: dict[str, str] = {name: sql for m in MODULES for name, sql in getattr(m, "ORACLE", {}).items()}
