@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm.common import small_batches, table
+from voxmill.llm.common import small_batches, table, unused
 
 WINDOW = 16
 RADIUS = 3
@@ -109,11 +109,12 @@ def _passages(text: str | None, known: dict[int, int], doc_id: int) -> list[tupl
 
 
 def _with_known(docs: DataFrame) -> DataFrame:
-    """docs with `met`: (position, first document) of each of a row's digests that a document of smaller id has too."""
+    """docs with a last column: (position, first document) of each of a row's digests that a document of smaller id has too."""
     rows = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(_digest_rows, "d1 long, d2 long, doc_id long, pos int")
     shared = rows.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
-    met = rows.join(shared, ["d1", "d2"]).where("first < doc_id").groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct("pos", "first")).alias("_met"))
-    return docs.join(met, F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    ident, met = unused(docs, "_id"), unused(docs, "_met")
+    known = rows.join(shared, ["d1", "d2"]).where("first < doc_id").groupBy(F.col("doc_id").alias(ident)).agg(F.collect_set(F.struct("pos", "first")).alias(met))
+    return docs.join(known, F.col("doc_id") == F.col(ident), "left").drop(ident)
 
 
 def _known(value) -> dict[int, int]:
@@ -123,7 +124,7 @@ def _known(value) -> dict[int, int]:
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
         out = []
-        for i, text, met in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "_met")), strict=True):
+        for i, text, met in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", batch.num_columns - 1)), strict=True):
             out += [(i, *p) for p in _passages(text, _known(met), i)]
         cols = list(zip(*out, strict=True)) or [[]] * 5
         yield pa.RecordBatch.from_pydict({n: pa.array(c, pa.int64()) for n, c in zip(("doc_id", "start", "end", "n_words", "first_doc_id"), cols, strict=True)})
@@ -142,7 +143,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
         texts = []
-        for i, text, met in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "_met")), strict=True):
+        for i, text, met in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", batch.num_columns - 1)), strict=True):
             if gone := _passages(text, _known(met), i) if i is not None else []:
                 data, at, parts = _encoded(text), 0, []
                 for a, b, *_ in gone:
@@ -151,7 +152,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 text = b"".join([*parts, data[at:]]).decode("utf-8", "surrogatepass")
             texts.append(text)
         k = batch.schema.get_field_index("text")
-        yield batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type)).drop_columns(["_met"])
+        yield batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type)).select(list(range(batch.num_columns - 1)))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

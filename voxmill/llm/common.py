@@ -39,6 +39,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """name, with as many underscores in front as keep it apart from the columns of df."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def fold(column: str, folds: int):
     """crc32 of the id as text, modulo folds; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds

@@ -242,35 +242,35 @@ def fit(train: DataFrame) -> Model:
     return model
 
 
-def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns `keep` of every row, its score, the number of significant passages and the best one's span (code points).
+def evidences(model: Model, texts: list[str]):
+    """Of each text: its score, its number of significant passages, and the best one's span in code points (or a pair of nulls)."""
+    word, stem, doc, first, end = tokens(texts)
+    odds = model.odds(word, stem)
+    edges = np.searchsorted(doc, np.arange(len(texts) + 1))
+    x, n, at = [], [], []
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        found = segments(odds[a:b])
+        e, r = model.evidence(found, b - a)
+        x.append(e)
+        n.append(r)
+        best = max(found, default=None)
+        at.append((first[a + best[1]], end[a + best[2] - 1]) if best and r else (None, None))
+    return model.score(np.array(x)), n, at
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id of every row, its score, the number of significant passages and the best one's span (code points).
 
     A null or empty text has no passage and gets the score of no evidence; repeated rows are scored each.
     """
-    plain = docs.select(*[F.col(c) for c in keep], F.col("text").alias("_text"))
-    schema = plain.drop("_text").schema.add("score", "double").add("n_segments", "long").add("best_start", "long").add("best_end", "long")
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # four arrays of 4 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = shipped.value
-        for batch in small_batches(batches, "_text"):
-            word, stem, doc, first, end = tokens(texts_of(batch, "_text"))
-            odds = m.odds(word, stem)
-            edges = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-            x, n, at = [], [], []
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                found = segments(odds[a:b])
-                e, r = m.evidence(found, b - a)
-                x.append(e)
-                n.append(r)
-                best = max(found, default=None)
-                at.append((first[a + best[1]], end[a + best[2] - 1]) if best and r else (None, None))
-            cols = {c: batch.column(c) for c in keep}
-            cols |= {"score": m.score(np.array(x)), "n_segments": pa.array(n, pa.int64())}
-            cols |= {"best_start": pa.array([p for p, _ in at], pa.int64()), "best_end": pa.array([q for _, q in at], pa.int64())}
-            yield pa.RecordBatch.from_pydict(cols)
-
-    return plain.mapInArrow(run, schema)
+        for batch in small_batches(batches, "text"):
+            scores, n, at = evidences(shipped.value, texts_of(batch))
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "score": scores, "n_segments": pa.array(n, pa.int64()), "best_start": pa.array([p for p, _ in at], pa.int64()), "best_end": pa.array([q for _, q in at], pa.int64())})
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, n_segments long, best_start long, best_end long")
 
 
 def train_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -279,6 +279,17 @@ def train_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, at_least: float = 0.7) -> DataFrame:
+    """docs without the rows whose score reaches at_least, with all columns; the model is fitted on docs and labels first."""
+    shipped = docs.sparkSession.sparkContext.broadcast(fit(train_rows(docs, labels)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text"):
+            yield batch.filter(pa.array(evidences(shipped.value, texts_of(batch))[0] < at_least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit(train_rows(docs, table(spark, sf_dir, "labels")))
