@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from voxmill.llm import chunks, decontaminate, jaccard, pieces, rules, toxicity
+from voxmill.llm import chunks, decontaminate, jaccard, pieces, rules, subwords, toxicity
 
-MODULES = (decontaminate, rules, jaccard, toxicity, pieces, chunks)
+MODULES = (decontaminate, rules, jaccard, subwords, toxicity, pieces, chunks)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE: dict[str, str] = {name: sql for m in MODULES for name, sql in getattr(m, "ORACLE", {}).items()}
