@@ -4,8 +4,8 @@ The pages of a host are merged into one tree of element paths (tags with their c
 is how its children follow each other; its content features are the texts below it. With m pages that have a path, presentation
 importance is the entropy of its presentations, to the base m, and content importance is 1 less the mean entropy of its
 features, where a feature of c pages has log_m c. Their mixture weighs content by GAMMA to the power of the number of
-presentations. A page loses the branches of importance below LOW, and single texts whose own importance is below it. Such texts are
-on over m^(1 - LOW) pages each, so if pages have F texts, a host has at most F * m^LOW of them: its list stays short.
+presentations. A page loses the branches of importance below LOW. Features are counted at their own path; those of a branch are the sums
+over the paths below it, which are few.
 
 Menus, adverts and the like whose texts differ from page to page look important to such statistics. So elements that say what they
 are (nav, footer, class="ad") go by their names first, and an article or main element, if there is one, holds the text.
@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,12 +24,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm.common import small_batches, table
+from voxmill.llm.common import cut, small_batches, table
 
 GAMMA = 0.9
 LOW = 0.2
 #: Pages that a path must have before its importance counts.
 MIN_PAGES = 20
+#: Elements below this depth have the path of the one at it; elements don't nest deeper than NESTING, but follow each other there.
+PATH_DEPTH, NESTING = 48, 512
+#: Low paths that may be sent to every task; about 10 MB.
+SHIP = 100_000
+#: Keys that a task sums pages by before it passes them on.
+FLUSH = 50_000
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
@@ -73,7 +80,7 @@ class Page:
     children: list[list[str]] = field(default_factory=list)
     texts: list[tuple[int, int, str]] = field(default_factory=list)
 
-    def add(self, tag: str, attributes: str, parent: int) -> int:
+    def add(self, tag: str, attributes: str, parent: int, depth: int = 0) -> int:
         words, role, hidden = frozenset(), "", False
         if attributes and attributes.strip(" /\n\t"):
             names = []
@@ -93,7 +100,7 @@ class Page:
         self.hidden.append(hidden)
         self.parent.append(parent)
         name = ".".join([tag, *sorted(words)])
-        self.path.append(f"{self.path[parent]}/{name}" if i else name)
+        self.path.append(name if not i else f"{self.path[parent]}/{name}" if depth < PATH_DEPTH else self.path[parent])
         self.children.append([])
         if i:
             self.children[parent].append(name)
@@ -150,8 +157,8 @@ def parse(html: str) -> Page:
                     del stack[k:], tags[k:]
         if tag not in _INLINE:
             block += 1
-        i = page.add(tag, m[3], stack[-1])
-        if tag not in _VOID:
+        i = page.add(tag, m[3], stack[-1], len(stack))
+        if tag not in _VOID and len(stack) < NESTING:
             stack.append(i)
             tags.append(tag)
 
@@ -165,22 +172,14 @@ def _key(text: str) -> int:
 
 
 def features(page: Page) -> tuple[dict[str, int], set[tuple[str, int]]]:
-    """Of each path its presentation on the page, and the (path, text) pairs of all texts below it."""
-    styles: dict[str, list[str]] = {}
+    """Of each path its presentation on the page, and the (path, text) pairs of all texts."""
+    styles: dict[str, dict[str, None]] = {}
     for path, children in zip(page.path, page.children, strict=True):
         runs = [c for i, c in enumerate(children) if not i or children[i - 1] != c]
-        styles.setdefault(path, []).append(",".join(runs))
-    found: set[tuple[str, int]] = set()
-    for node, _, text in page.texts:
-        if plain := _plain(text):
-            value, i = _key(plain), node
-            while True:
-                found.add((page.path[i], value))
-                if not i:
-                    break
-                i = page.parent[i]
+        styles.setdefault(path, {})[",".join(runs)] = None
+    found = {(page.path[node], _key(plain)) for node, _, text in page.texts if (plain := _plain(text))}
     # repeats of one presentation are one: lists of any length look alike
-    return {path: _key("|".join(dict.fromkeys(s))) for path, s in styles.items()}, found
+    return {path: _key("|".join(s)) for path, s in styles.items()}, found
 
 
 def _noise(page: Page, i: int, in_article: bool, holder: bool) -> bool:
@@ -194,7 +193,7 @@ def _noise(page: Page, i: int, in_article: bool, holder: bool) -> bool:
     return not holder and bool(page.words[i] & _NOISE_WORDS) and tag not in _INLINE | {"h1"}
 
 
-def extract(html: str | None, low_paths: frozenset = frozenset(), low_texts: frozenset = frozenset()) -> str:
+def extract(html: str | None, low_paths: frozenset = frozenset()) -> str:
     """Main text of a page: blocks in page order, joined by one space; empty if there is none."""
     if not html:
         return ""
@@ -220,10 +219,7 @@ def extract(html: str | None, low_paths: frozenset = frozenset(), low_texts: fro
     for node, block, text in page.texts:
         if noise[node]:
             continue
-        plain = entities.unescape(text) if "&" in text else text
-        if low_texts and (page.path[node], _key(" ".join(plain.split()))) in low_texts and plain.strip():
-            continue
-        kept.append((node, block, plain))
+        kept.append((node, block, entities.unescape(text) if "&" in text else text))
     for chosen in (article, main, named):
         inside = [x for x in kept if chosen[x[0]]]
         if any(t.strip() for _, _, t in inside):
@@ -240,75 +236,79 @@ def extract(html: str | None, low_paths: frozenset = frozenset(), low_texts: fro
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages by (host, path, content or presentation, value), summed over up to FLUSH keys at a time."""
+    counts: Counter = Counter()
+
+    def flush() -> pa.RecordBatch:
+        cols = list(zip(*counts, strict=True)) or [[]] * 4
+        out = pa.RecordBatch.from_pydict({"host": pa.array(cols[0], pa.string()), "path": pa.array(cols[1], pa.string()), "content": pa.array(cols[2], pa.bool_()), "value": pa.array(cols[3], pa.int64()), "c": pa.array(counts.values(), pa.int64())})
+        counts.clear()
+        return out
+
     for batch in small_batches(batches, "html"):
-        host, path, content, value = [], [], [], []
         for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            if not html:
-                continue
-            styles, texts = features(parse(html))
-            host += [host_of(url)] * (len(styles) + len(texts))
-            path += [*styles.keys(), *(p for p, _ in texts)]
-            content += [False] * len(styles) + [True] * len(texts)
-            value += [*styles.values(), *(v for _, v in texts)]
-        yield pa.RecordBatch.from_pydict({"host": pa.array(host, pa.string()), "path": pa.array(path, pa.string()), "content": pa.array(content, pa.bool_()), "value": pa.array(value, pa.int64())})
-
-
-def importance(pages: DataFrame, min_pages: int = MIN_PAGES) -> tuple[DataFrame, DataFrame]:
-    """(host, path, pages, importance) of each path, and (host, path, value, importance) of each text, of min_pages pages or more."""
-    rows = pages.select("url", "html").mapInArrow(_rows, "host string, path string, content boolean, value long")
-    counts = rows.groupBy("host", "path", "content", "value").agg(F.count("*").alias("c"))
-    log_c = F.log(F.col("c").cast("double"))
-    style, text = ~F.col("content"), F.col("content")
-    nodes = (
-        counts.groupBy("host", "path")
-        .agg(
-            F.sum(F.when(style, F.col("c"))).alias("pages"), F.sum(F.when(style, F.col("c") * log_c)).alias("styled"), F.count(F.when(style, 1)).alias("styles"),
-            F.count(F.when(text, 1)).alias("texts"), F.sum(F.when(text, log_c)).alias("common"),
-        )
-        .where(F.col("pages") >= min_pages)
+            if html:
+                host = host_of(url)
+                styles, texts = features(parse(html))
+                counts.update((host, path, False, value) for path, value in styles.items())
+                counts.update((host, path, True, value) for path, value in texts)
+        if len(counts) > FLUSH:
+            yield flush()
+    yield flush()
+
+
+def importance(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, path, pages, importance) of each path with a text below it, of min_pages pages or more."""
+    rows = pages.select("url", "html").mapInArrow(_rows, "host string, path string, content boolean, value long, c long")
+    counts = rows.groupBy("host", "path", "content", "value").agg(F.sum("c").alias("c"))
+    log_c, text = F.log(F.col("c").cast("double")), F.col("content")
+    paths = counts.groupBy("host", "path").agg(
+        F.sum(F.when(~text, F.col("c"))).alias("pages"), F.sum(F.when(~text, F.col("c") * log_c)).alias("styled"), F.count(F.when(~text, 1)).alias("styles"),
+        F.count(F.when(text, 1)).alias("texts"), F.coalesce(F.sum(F.when(text, log_c)), F.lit(0.0)).alias("common"),
     )
+    # each path's sums go to itself and to every path above it
+    parts = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
+    own = F.col("above") == F.col("path")
+    nodes = paths.withColumn("above", F.explode(above)).groupBy("host", F.col("above").alias("path")).agg(
+        *[F.max(F.when(own, F.col(c))).alias(c) for c in ("pages", "styled", "styles")], F.sum("texts").alias("texts"), F.sum("common").alias("common"))
     log_m = F.log(F.col("pages").cast("double"))
     presentation = 1 - F.col("styled") / F.col("pages") / log_m
     content = 1 - F.try_divide("common", "texts") / log_m
     weight = F.pow(F.lit(GAMMA), F.col("styles"))
-    nodes = nodes.withColumn("importance", (1 - weight) * presentation + weight * content)
-    texts = counts.where(text & (F.col("c") > 1)).join(nodes.select("host", "path", "pages"), ["host", "path"]).withColumn("importance", 1 - log_c / log_m)
-    return nodes.where("texts > 0").select("host", "path", "pages", "importance"), texts.select("host", "path", "value", "importance")
+    return nodes.where((F.col("pages") >= min_pages) & (F.col("texts") > 0)).withColumn("importance", (1 - weight) * presentation + weight * content).select("host", "path", "pages", "importance")
+
 
+def _extracted(paths_of):
+    """paths_of: from a batch and a row's number and host to the host's low paths."""
 
-def _extracted(url: str, low_paths: str, low_texts: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[frozenset, frozenset]] = {}
         for batch in small_batches(batches, "html"):
-            out = []
-            paths, texts = batch.column(low_paths), batch.column(low_texts)
-            for i, (u, html) in enumerate(zip(batch.column(url).to_pylist(), batch.column("html").to_pylist(), strict=True)):
-                host = host_of(u)
-                if host not in known:
-                    if len(known) > 1000:
-                        known.clear()
-                    known[host] = (frozenset(paths[i].as_py() or ()), frozenset((x["path"], x["value"]) for x in texts[i].as_py() or ()))
-                out.append(extract(html, *known[host]))
-            yield pa.RecordBatch.from_pydict({"page_id": batch.column("page_id"), "url": batch.column(url), "text": pa.array(out, pa.string()), "n_chars": pa.array(map(len, out), pa.int64())})
+            urls = batch.column("url").to_pylist()
+            out = [extract(html, paths_of(batch, i, host_of(u))) for i, (u, html) in enumerate(zip(urls, batch.column("html").to_pylist(), strict=True))]
+            yield pa.RecordBatch.from_pydict({"page_id": batch.column("page_id"), "url": batch.column("url"), "text": pa.array(out, pa.string()), "n_chars": pa.array(map(len, out), pa.int64())})
 
     return run
 
 
-def main_text(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES) -> DataFrame:
+def main_text(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES, ship: int = SHIP) -> DataFrame:
     """page_id, url, text, n_chars for each row of pages (page_id, url, html).
 
     Null and empty pages have the empty text. Pages without a host share one. Repeated rows count as pages each. Hosts of fewer than
-    min_pages pages lose nothing by statistics. Further columns are ignored.
+    min_pages pages lose nothing by statistics. Further columns are ignored. Up to `ship` low paths go to every task; more are joined by host.
     """
-    nodes, texts = importance(pages, min_pages)
-    weak = nodes.where(F.col("importance") < low).select("host", "path", F.lit(None).cast("long").alias("value")).unionByName(texts.where(F.col("importance") < low).select("host", "path", "value"))
-    by_host = weak.groupBy("host").agg(
-        F.collect_set(F.when(F.col("value").isNull(), F.col("path"))).alias("low_paths"),
-        F.collect_set(F.when(F.col("value").isNotNull(), F.struct("path", "value"))).alias("low_texts"),
-    )
+    weak = cut(importance(pages, min_pages).where(F.col("importance") < low).select("host", "path"))
+    schema = "page_id long, url string, text string, n_chars long"
+    if weak.count() <= ship:
+        known: dict[str, set] = {}
+        for r in weak.collect():  # at most `ship` paths
+            known.setdefault(r["host"], set()).add(r["path"])
+        none: frozenset = frozenset()
+        shipped = pages.sparkSession.sparkContext.broadcast({h: frozenset(p) for h, p in known.items()})
+        return pages.select("page_id", "url", "html").mapInArrow(_extracted(lambda batch, i, host: shipped.value.get(host, none)), schema)
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
-    joined = pages.select("page_id", "url", "html", host.alias("host")).join(by_host, "host", "left")
-    return joined.mapInArrow(_extracted("url", "low_paths", "low_texts"), "page_id long, url string, text string, n_chars long")
+    joined = pages.select("page_id", "url", "html", host.alias("host")).join(weak.groupBy("host").agg(F.collect_set("path").alias("low")), "host", "left")
+    return joined.mapInArrow(_extracted(lambda batch, i, host: frozenset(batch.column("low")[i].as_py() or ())), schema)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
