@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from voxmill.plans import segments
+
+MODULES = (segments,)
+QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
+ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
