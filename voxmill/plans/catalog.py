@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from voxmill.plans import segments
+from voxmill.plans import segments, texts, vectors
 
-MODULES = (segments,)
+MODULES = (segments, texts, vectors)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
