@@ -14,10 +14,12 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -33,11 +35,14 @@ FILE_IDS = 1 << 24
 LEVEL = 1
 END = 0
 VOCABULARY = "byte_bpe_50k.json"
-#: Words that one worker remembers, at most; the table starts afresh beyond it.
-WORD_TABLE = 200_000
+#: Words that one worker remembers, in each of two tables: when the young one is full it becomes the old one.
+WORD_TABLE = 600_000
+#: Words that are encoded as one text.
+LINES = 2_000
+#: Punctuation that the splitting pattern sets apart from a letter or digit before it (an apostrophe may begin a contraction).
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _SKIPPABLE, _INDEX_MAGIC, _SEEKABLE = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
-_SPACES = [chr(i) for i in range(0x3001) if chr(i).isspace()]
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -49,8 +54,10 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 class Encoder:
     """Ids of texts as bytes, by the tokenizers library.
 
-    Its splitting pattern never joins a space to what stands before it, so where each space follows a character that is no white
-    space, the words of a text (each with its space) are encoded alone, and those met before come from a bounded table. Other texts are encoded whole.
+    Its splitting pattern never joins a space or line end to what stands before it, if that is no white space, nor a line end to
+    what follows, if that is none either. So a text whose white space is single spaces and line ends between other characters is encoded word by
+    word: words behind a space, and words behind a line end, for which a NUL stands here. Words met before come from bounded
+    tables. Texts with other white space, or NULs, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -59,21 +66,85 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        (self.line,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.marks: dict[str, bytes] = {"": b""}
+        #: Ids of each word, None for a word that can't be encoded alone.
+        self.young: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _lines(self, words: list[str], before: str) -> list[bytes]:
+        """Ids of each word with `before` in front, encoded as lines of one text: line ends stay tokens of their own."""
+        out: list[bytes] = []
+        for a in range(0, len(words), LINES):
+            some = words[a : a + LINES]
+            text = "".join([f"{before}{w}\n" for w in some])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends, data = (np.flatnonzero(ids == self.line) * 4).tolist(), ids.tobytes()
+            if len(ends) == len(some):
+                out += [data[b:e] for b, e in zip([0, *[x + 4 for x in ends[:-1]]], ends, strict=True)]
+            else:
+                out += self.whole([before + w for w in some])
+        return out
+
+    def _ids(self, words: list[str]) -> list[bytes | None]:
+        """Ids of distinct words, from the tables or encoded now; None for those with other white space."""
+        if len(self.young) + len(words) > WORD_TABLE:
+            self.young, self.old = {}, self.young
+        if len(self.marks) > LINES:
+            self.marks = {"": b""}
+        young, old = self.young, self.old
+        found = [young.get(w, 0) for w in words]
+        new = []
+        for i, x in enumerate(found):
+            if x == 0:
+                w = words[i]
+                if w in old:
+                    found[i] = young[w] = old[w]
+                else:
+                    new.append(i)
+        # marks behind a letter or digit are apart from it: only what stands before them has to be known
+        heads: dict[str, bytes | None] = {}
+        cut: list[tuple[int, str, str]] = []
+        for i in new:
+            w = words[i]
+            head = w.rstrip(_MARKS)
+            if w.split() != [w] or w == "\0":
+                young[w] = found[i] = None
+            elif head != w and head and head[-1].isalnum():
+                cut.append((i, head, w[len(head) :]))
+                heads[head] = young.get(head) or old.get(head)
+            else:
+                heads[w] = None
+                cut.append((i, w, ""))
+        spaced, bare = [w for w, x in heads.items() if not x and w[0] != "\0"], [w for w, x in heads.items() if not x and w[0] == "\0"]
+        heads.update(zip(spaced, self._lines(spaced, " "), strict=True))
+        end = np.array([self.line], dtype="<u4").tobytes()
+        heads.update((w, end + ids) for w, ids in zip(bare, self._lines([w[1:] for w in bare], ""), strict=True))
+        young.update(heads)
+        tails = list({t for _, _, t in cut if t not in self.marks})
+        self.marks.update(zip(tails, self.whole(tails), strict=True))
+        for i, head, tail in cut:
+            young[words[i]] = found[i] = heads[head] + self.marks[tail]
+        return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        plain = [not any(s + " " in t for s in _SPACES) for t in texts]
-        split = [t.split(" ") if p else [] for t, p in zip(texts, plain, strict=True)]
-        if len(self.known) > WORD_TABLE:
-            self.known.clear()
-        missing = list({w for words in split for w in words[1:] if w not in self.known})
-        self.known.update(zip(missing, self._encode([" " + w for w in missing]), strict=True))
-        whole = iter(self._encode([words[0] if p else t for t, p, words in zip(texts, plain, split, strict=True)]))
-        get = self.known.__getitem__
-        return [b"".join([next(whole), *map(get, words[1:])]) for words in split]
+        # each text starts like a line, whose end is cut off again; distinct words are found, and ids put together, in Arrow
+        column = pa.array(["" if "\0" in t else "\0" + t for t in texts], pa.large_string())
+        split = pc.split_pattern(pc.replace_substring(column, "\n", " \0"), " ")
+        words = split.values.dictionary_encode()
+        ids = pa.array(self._ids(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices)
+        edges = split.offsets.to_numpy()
+        offsets = np.frombuffer(ids.buffers()[1], dtype=np.int64)[ids.offset :][: len(ids) + 1]
+        data = memoryview(ids.buffers()[2] or b"")
+        at = offsets[edges]
+        out = [bytes(data[a + 4 : b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        rest = np.unique(np.searchsorted(edges, np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False)), side="right") - 1).tolist()
+        for i, whole in zip(rest, self.whole([texts[i] for i in rest]), strict=True):
+            out[i] = whole
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -197,7 +268,7 @@ def _write(folder: str, path: str, file_ids: int, frame_ids: int):
             out.close()
             done.append((part, len(done), f"{folder}/ids-{part:06d}-{len(done):06d}.zst", len(out.docs), out.total))
 
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 4 << 20):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch)), strict=True):
                 if out is None:
                     out = Writer(f"{folder}/ids-{part:06d}-{len(done):06d}.zst", frame_ids)
