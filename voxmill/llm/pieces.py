@@ -27,9 +27,9 @@ from voxmill.llm.common import small_batches, table, texts_of
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
 #: Words that one worker remembers, in each of two tables: when the young one is full it becomes the old one.
-WORD_TABLE = 200_000
+WORD_TABLE = 300_000
 #: Pairs of pieces whose compatibility one worker remembers, at most.
-PAIR_TABLE = 500_000
+PAIR_TABLE = 300_000
 #: Longer words (no white space for so long) are encoded without being remembered.
 LONG_WORD = 64
 
@@ -67,10 +67,14 @@ class Vocabulary:
         if any(p[0] not in self.reachable for p in self.reachable):
             raise ValueError("a piece begins with a character that is no piece")
         self.starts.make_automaton()
+        #: The next shorter piece that begins a piece.
+        self.shorter = {p: q for p in self.reachable if (q := next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.reachable), None))}
         self._text = {p: str(i) for p, i in self.ident.items()}
         self._pairs: dict[tuple[str, str], bool] = {}
-        self.young: dict[str, tuple[str, int, str]] = {}
-        self._old: dict[str, tuple[str, int, str]] = {}
+        #: Ids of a word as text, and what they decode to where that isn't the word itself.
+        self.young: dict[str, str] = {}
+        self._old: dict[str, str] = {}
+        self.odd: dict[str, str] = {}
 
     def merge(self, text: str) -> list[str]:
         """Plain BPE: merge the adjacent pair whose joint piece has the highest score, the leftmost of equals, until none has one."""
@@ -102,56 +106,39 @@ class Vocabulary:
             found = self._pairs[a, b] = self.merge(a + b) == [a, b]
         return found
 
+    def _longest(self, word: str, pos: int) -> str:
+        """The longest piece that begins at pos; a character that no piece begins with is a piece by itself."""
+        last, p = next(self.starts.iter_long(word, pos), (-1, ""))
+        return p if p and last + 1 - len(p) == pos else word[pos]
+
     def split(self, word: str) -> list[str]:
-        """The pieces of a word; a character that no piece begins with is a piece by itself.
-
-        The automaton's leftmost longest matches are tried first as they are: a sequence of pieces whose neighbours are all compatible
-        is the encoding. Else the search goes through all matches.
-        """
-        known, check = self._pairs.get, self.compatible
-        greedy, at, before = [], 0, None
-        for last, p in self.starts.iter_long(word):
-            if last + 1 - len(p) != at or (before is not None and not ((k := known((before, p))) or (k is None and check(before, p)))):
-                break
-            greedy.append(p)
-            at, before = last + 1, p
-        return greedy if at == len(word) else self._search(word, greedy, at)
-
-    def _search(self, word: str, out: list[str], pos: int) -> list[str]:
-        """Goes on from compatible longest matches `out` that end at pos."""
-        n = len(word)
-        at: list[list[str]] = [[] for _ in range(n)]
-        for last, p in self.starts.iter(word):
-            at[last + 1 - len(p)].append(p)
-        if [] in at:  # unknown characters never merge
-            at = [options or [word[i]] for i, options in enumerate(at)]
-        known, check = self._pairs.get, self.compatible
+        """The pieces of a word."""
+        known, check, shorter, longest = self._pairs.get, self.compatible, self.shorter.get, self._longest
+        n, pos = len(word), 0
         # bitfield of failed positions: a stretch up to a position has one encoding at most, so a position that fails once fails for good
-        failed, tries, i = 0, [], 0
-        for p in out:
-            tries.append(len(at[i]) - 1)
-            i += len(p)
-        tries.append(len(at[pos]))
+        failed = 0
+        out: list[str] = []
+        p = longest(word, 0) if n else None
         while pos < n:
-            options, t = at[pos], tries[-1]
-            before = out[-1] if out else None
-            while t:
-                t -= 1
-                p = options[t]
-                if failed >> (pos + len(p)) & 1:
-                    continue
-                if before is None or ((k := known((before, p))) or (k is None and check(before, p))):
-                    tries[-1] = t
-                    out.append(p)
-                    pos += len(p)
-                    tries.append(len(at[pos]) if pos < n else 0)
-                    break
-            else:
-                if not out:
-                    raise ValueError("no valid encoding")
+            while p is not None:
+                if not failed >> (pos + len(p)) & 1:
+                    if not out:
+                        break
+                    fits = known((out[-1], p))
+                    if fits or (fits is None and check(out[-1], p)):
+                        break
+                p = shorter(p)
+            if p is not None:
+                out.append(p)
+                pos += len(p)
+                p = longest(word, pos) if pos < n else None
+            elif out:
                 failed |= 1 << pos
-                tries.pop()
-                pos -= len(out.pop())
+                last = out.pop()
+                pos -= len(last)
+                p = shorter(last)
+            else:
+                raise ValueError("no valid encoding")
         return out
 
     def ids(self, parts: list[str]) -> list[int]:
@@ -164,35 +151,39 @@ class Vocabulary:
                 out += [self.bytes[b] for b in p.encode("utf-8", "surrogatepass")]
         return out
 
-    def word(self, word: str) -> tuple[str, int, str]:
-        """Ids of a word as text, their number, and what they decode to (space marks left as they are)."""
+    def word(self, word: str) -> str:
+        """Ids of a word as text; what they decode to goes to `odd` if it isn't the word (space marks left as they are)."""
         found = self.young.get(word) or self._old.get(word)
         if found is None:
             found = self._encoded(word)
+            if (plain := self.decode_marked([int(i) for i in found.split(",")])) != word:
+                self.odd[word] = plain
         if len(word) <= LONG_WORD:
             if len(self.young) >= WORD_TABLE:
                 self._old, self.young = self.young, {}
             self.young[word] = found
         return found
 
-    def _encoded(self, word: str) -> tuple[str, int, str]:
+    def _encoded(self, word: str) -> str:
         """Of a word or part: as word(), from its parts if it has any."""
         beside = self.beside
         cuts = [i + 1 for i in range(len(word) - 1) if word[i : i + 2] not in beside]
         if cuts:
-            found = [self.word(word[a:b]) for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
-            return ",".join([x[0] for x in found]), sum([x[1] for x in found]), "".join([x[2] for x in found])
+            known = self.young.get
+            return ",".join([known(part) or self.word(part) for part in (word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True))])
         parts = self.split(word)
         try:
-            return ",".join([self._text[p] for p in parts]), len(parts), "".join(parts)
+            return ",".join([self._text[p] for p in parts])
         except KeyError:  # bytes of unknown characters
-            ids = self.ids(parts)
-            return ",".join(map(str, ids)), len(ids), self.decode_marked(ids)
+            return ",".join(map(str, self.ids(parts)))
 
-    def looked_up(self, text: str) -> list[tuple[str, int, str]]:
-        """word() of each word of a text."""
-        word, young = self.word, self.young.get
-        return [young(w) or word(w) for w in self.words(text)]
+    def looked_up(self, text: str) -> tuple[str, str]:
+        """Ids of a text as text, and the text that they decode to."""
+        word, young, words = self.word, self.young.get, self.words(text)
+        ids = ",".join([young(w) or word(w) for w in words])
+        if self.odd:
+            words = [self.odd.get(w, w) for w in words]
+        return ids, "".join(words).replace(MARK, " ").removeprefix(" ")
 
     def decode_marked(self, ids: list[int]) -> str:
         out, pending = [], bytearray()
@@ -215,7 +206,7 @@ class Vocabulary:
         return _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for w in self.looked_up(text) for i in w[0].split(",")]
+        return [int(i) for i in self.looked_up(text)[0].split(",")] if text else []
 
     def decode(self, ids: list[int]) -> str:
         """What the ids stand for, without the space that encoding put in front."""
@@ -239,10 +230,9 @@ def _round_trip(path: str):
         for batch in small_batches(batches, "text"):
             n, encoded, decoded = [], [], []
             for text in texts_of(batch):
-                found = v.looked_up(text)
-                n.append(sum(x[1] for x in found))
-                encoded.append(hashlib.sha256(",".join([x[0] for x in found]).encode()).hexdigest())
-                plain = "".join([x[2] for x in found]).replace(MARK, " ").removeprefix(" ")
+                ids, plain = v.looked_up(text)
+                n.append(ids.count(",") + 1 if ids else 0)
+                encoded.append(hashlib.sha256(ids.encode()).hexdigest())
                 decoded.append(hashlib.sha256(plain.encode("utf-8", "surrogatepass")).hexdigest())
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": encoded, "decoded_sha256": decoded})
 
@@ -262,7 +252,7 @@ def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in small_batches(batches, "text", 1 << 20):
-            ids = [list(map(int, x.split(","))) if (x := ",".join([w[0] for w in v.looked_up(t)])) else [] for t in texts_of(batch)]
+            ids = [v.encode(t) for t in texts_of(batch)]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32()))})
 
     return run
