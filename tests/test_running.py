@@ -122,3 +122,37 @@ def test_stream_windows(spark, tmp_path):
 
 def test_schemas():
     assert schemas.SEGMENTS["asr"].dataType["confidence"].dataType.typeName() == "double"
+
+
+def test_extraction(spark, tmp_path):
+    from voxmill.sources.extract import extract_tracks
+
+    (tmp_path / "a.mp4").write_bytes(b"track")
+    found = files.videos(spark, str(tmp_path)).drop("bytes")
+    out = str(tmp_path / "out")
+    copy = ("cp", "{source}", "{target}")
+    assert [r.status for r in extract_tracks(found, out, copy).collect()] == ["success"]
+    assert (tmp_path / "out" / "a.wav").read_bytes() == b"track"
+    assert [r.status for r in extract_tracks(found, out, copy).collect()] == ["skipped"]
+    assert [r.status for r in extract_tracks(found, str(tmp_path / "o2"), ("no-such-program",)).collect()] == ["failed"]
+
+
+def test_written_waves(spark, tmp_path):
+    df = spark.createDataFrame([("a", 16_000, [0.5, -0.5]), ("b", 16_000, None)], "segment_id string, sr int, samples array<float>")
+    got = {r.segment_id: r.status for r in sinks.write_wavs(df, str(tmp_path / "w")).collect()}
+    assert got["a"] == "success" and [round(x, 3) for x in audio.decode_wav((tmp_path / "w" / "a.wav").read_bytes())[0]] == [0.5, -0.5]
+
+
+def test_model_hooks(spark):
+    x = [0.0] * 8000 + [float(v) for v in np.sin(np.arange(16_000) / 5)] + [0.0] * 8000
+    df = spark.createDataFrame([("s", "v", x, 16_000)], "segment_id string, video_id string, samples array<double>, sr int")
+    speech = hooks.detect_speech(df).first()
+    assert [(i.start, i.end) for i in speech.intervals] == [(0.5, 1.5)]
+    r = hooks.separate(df, lambda: lambda s, sr: {"vocals": s, "no_vocals": s * 0}).first()
+    assert r.status == "success" and max(r.vocals) == pytest.approx(1, abs=1e-3)
+    d = hooks.diarize(df, lambda: lambda s, sr: ([("A", 0.0, 1.0)], {"A": np.ones(2)})).first()
+    assert d.turns[0].speaker == "A" and d.embeddings[0].embedding == [1.0, 1.0]
+    t = hooks.transcribe(df, lambda: lambda s, sr: {"text": "hi"}).first()
+    assert (t.text, t.confidence) == ("hi", None)
+    e = hooks.evaluate(df.selectExpr("*", "'hi' AS text"), lambda: lambda s, sr, prompt: prompt).first()
+    assert e.evaluation.endswith("hi")

@@ -5,15 +5,17 @@ No model is shipped. A hook is loaded once per worker process by a factory, runs
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 from voxmill.config import Evaluation
-from voxmill.functions.dsp import energy_vad
+from voxmill.functions.dsp import energy_vad, standardise
 
 
 class Separator(Protocol):
@@ -44,24 +46,26 @@ class Evaluator(Protocol):
 _loaded: dict = {}
 
 
-def singleton(factory: Callable):
-    """What factory() returns, made once per worker process."""
-    key = f"{factory.__module__}.{factory.__qualname__}"
+def singleton(key: str, factory: Callable):
+    """What factory() returns, made once per worker process and key."""
     if key not in _loaded:
         _loaded[key] = factory()
     return _loaded[key]
 
 
 def apply_hook(df: DataFrame, factory: Callable, call: Callable, schema: str, keep: tuple[str, ...]) -> DataFrame:
-    """keep columns of df, the columns of schema that call(model, row) returns as a dict, and status and error.
+    """keep columns of df, the columns of schema (fields of its structs are parted by semicolons) that call(model, row) returns as a dict, and status and error.
 
     A row that raises has status failed, its error's text and null results; the others have status success.
     """
     names = [x.strip().split()[0] for x in schema.split(",")]
+    schema = schema.replace(";", ",")
     kept = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
 
+    key = hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = singleton(factory)
+        model = singleton(key, factory)
         for pdf in batches:
             rows = []
             for row in pdf.to_dict("records"):
@@ -79,6 +83,50 @@ def energy_detector() -> SpeechDetector:
     return energy_vad
 
 
+WAVE = ("segment_id", "video_id")
+
+
+def separate(df: DataFrame, factory: Callable[[], Separator]) -> DataFrame:
+    """vocals and no_vocals of rows (segment_id, video_id, samples, sr), run on standardised samples; stems over full scale are scaled down."""
+
+    def call(model: Separator, row: dict) -> dict:
+        x, mean, deviation = standardise(np.asarray(row["samples"], dtype=np.float64))
+        stems = model(x, int(row["sr"]))
+        out = {k: stems[k] * deviation + mean for k in ("vocals", "no_vocals")}
+        return {k: (v / max(1.0, float(np.abs(v).max(initial=0.0)))).tolist() for k, v in out.items()}
+
+    return apply_hook(df, factory, call, "vocals array<double>, no_vocals array<double>", WAVE)
+
+
+def diarize(df: DataFrame, factory: Callable[[], Diarizer]) -> DataFrame:
+    """turns, and embeddings by speaker, of rows (segment_id, video_id, samples, sr); voxmill.operators.intervals.turns reads the turns."""
+
+    def call(model: Diarizer, row: dict) -> dict:
+        turns, embeddings = model(np.asarray(row["samples"]), int(row["sr"]))
+        return {"turns": [{"speaker": s, "start": float(a), "end": float(b)} for s, a, b in turns], "embeddings": [{"speaker": s, "embedding": [float(x) for x in e]} for s, e in embeddings.items()]}
+
+    return apply_hook(df, factory, call, "turns array<struct<speaker:string;start:double;end:double>>, embeddings array<struct<speaker:string;embedding:array<double>>>", WAVE)
+
+
+def detect_speech(df: DataFrame, factory: Callable[[], SpeechDetector] = energy_detector) -> DataFrame:
+    """Speech intervals of rows (segment_id, video_id, samples, sr)."""
+
+    def call(model: SpeechDetector, row: dict) -> dict:
+        return {"intervals": [{"start": a, "end": b} for a, b in model(np.asarray(row["samples"], dtype=np.float64), int(row["sr"]))]}
+
+    return apply_hook(df, factory, call, "intervals array<struct<start:double;end:double>>", WAVE)
+
+
+def transcribe(df: DataFrame, factory: Callable[[], Transcriber]) -> DataFrame:
+    """text, language, confidence, confidence_min and sentence_count of rows (segment_id, video_id, samples, sr)."""
+
+    def call(model: Transcriber, row: dict) -> dict:
+        r = model(np.asarray(row["samples"]), int(row["sr"]))
+        return {k: r.get(k) for k in ("text", "language", "confidence", "confidence_min", "sentence_count")}
+
+    return apply_hook(df, factory, call, "text string, language string, confidence double, confidence_min double, sentence_count int", WAVE)
+
+
 def evaluate(df: DataFrame, factory: Callable[[], Evaluator], cfg: Evaluation = Evaluation()) -> DataFrame:
     """(segment_id, video_id, text, evaluation, status, error) of rows (segment_id, video_id, text, samples, sr)."""
 

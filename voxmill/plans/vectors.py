@@ -114,7 +114,7 @@ QUERIES = {
     "cosine_pairs": lambda s, d: embeddings.pairs_under(emb(s, d), CUT).select("a", "b", F.round("dist", 6).alias("dist")),
     "cluster_quality": lambda s, d: embeddings.cluster_quality(emb(s, d)).select("label", "n", *[F.round(c, 6).alias(c) for c in ("intra", "inter", "ratio")]),
     "centroid_gate": lambda s, d: embeddings.centroid_distances(emb(s, d)).select("vec_id", F.round("dist", 6).alias("dist"), (F.round("dist", 6) > GATE).alias("uncertain")),
-    "iqr_outliers": lambda s, d: embeddings.iqr_outliers(emb(s, d)).select("vec_id", F.round("mean_dist", 6).alias("mean_dist"), "is_outlier"),
+    "iqr_outliers": lambda s, d: embeddings.iqr_outliers(emb(s, d)).select("vec_id", "mean_dist", "is_outlier"),
     "cluster_rank_labels": q_rank_labels,
     "ahc_clusters": q_clusters,
     "speaker_labels": q_speakers,
@@ -136,8 +136,8 @@ ORACLE = {
       SELECT n.label, n, round(intra, 6) AS intra, round(inter, 6) AS inter, round(intra / inter, 6) AS ratio FROM n JOIN o ON o.la = n.label LEFT JOIN i ON i.la = n.label""",
     "centroid_gate": f"""WITH {CELLS}, c AS (SELECT label, pos, avg(x) AS m FROM cells GROUP BY ALL), l AS (SELECT label, sqrt(sum(m * m)) AS len FROM c GROUP BY label),
       g AS (SELECT vec_id, round(1 - sum(x * m) / any_value(len), 6) AS dist FROM cells JOIN c USING (label, pos) JOIN l USING (label) GROUP BY vec_id) SELECT vec_id, dist, dist > {GATE} AS uncertain FROM g""",
-    "iqr_outliers": f"""WITH {_DIST}, m AS (SELECT a, la, avg(d) AS x, count(*) + 1 AS n FROM dist WHERE la = lb GROUP BY ALL), q AS (SELECT la, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM m GROUP BY la)
-      SELECT a AS vec_id, round(x, 6) AS mean_dist, n >= 4 AND x > q3 + 1.5 * (q3 - q1) AS is_outlier FROM m JOIN q USING (la)""",
+    "iqr_outliers": f"""WITH {_DIST}, m AS (SELECT a, la, round(avg(d), 6) AS x, count(*) + 1 AS n FROM dist WHERE la = lb GROUP BY ALL), q AS (SELECT la, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM m GROUP BY la)
+      SELECT a AS vec_id, x AS mean_dist, n >= 4 AND x > q3 + 1.5 * (q3 - q1) AS is_outlier FROM m JOIN q USING (la)""",
     "cluster_rank_labels": """WITH s AS (SELECT label AS cluster, count(*) AS size, min(vec_id) AS first FROM embeddings GROUP BY label), r AS (SELECT *, row_number() OVER (ORDER BY size DESC, first) AS k FROM s)
       SELECT cluster, size, CASE WHEN k = 1 THEN 'TARGET' ELSE printf('OTHER_%02d', k - 2) END AS label FROM r""",
     "frame_snr": _SNR,

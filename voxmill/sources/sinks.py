@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxmill.functions.audio import encode_wav
+
 
 def write_table(df: DataFrame, path: str, *partitions: str) -> None:
     """Overwrite a Parquet table; the old one stays readable until the new one is whole."""
@@ -36,3 +44,30 @@ def record(ledger: DataFrame | None, results: DataFrame) -> DataFrame:
     both = new if ledger is None else ledger.unionByName(new)
     latest = both.groupBy("video_id").agg(F.max_by(F.struct("status", "error", "updated_at"), "updated_at").alias("x"))
     return latest.select("video_id", "x.*")
+
+
+def write_wavs(waves: DataFrame, folder: str) -> DataFrame:
+    """Write (segment_id, sr, samples) as 16-bit WAV files to a folder that executors share; segment_id, path, status and error of each.
+
+    A file appears under its name when it is whole, so that a task may run again. Nothing is written before the result is read.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        target.create_dir(root, recursive=True)
+        for batch in batches:
+            rows = []
+            for ident, sr, samples in zip(*(batch.column(c).to_pylist() for c in ("segment_id", "sr", "samples")), strict=True):
+                path = f"{root}/{ident}.wav"
+                try:
+                    part = f"{path}.{uuid.uuid4().hex}.part"
+                    with target.open_output_stream(part) as out:
+                        out.write(encode_wav(np.asarray(samples, dtype=np.float64), sr))
+                    target.move(part, path)
+                    rows.append((ident, path, "success", None))
+                except Exception as e:  # one bad record doesn't end the run
+                    rows.append((ident, None, "failed", f"{type(e).__name__}: {e}"))
+            cols = list(zip(*rows, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_pydict({n: pa.array(c, pa.string()) for n, c in zip(("segment_id", "path", "status", "error"), cols, strict=True)})
+
+    return waves.select(F.col("segment_id").cast("string"), "sr", "samples").mapInArrow(run, "segment_id string, path string, status string, error string")
