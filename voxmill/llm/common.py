@@ -66,7 +66,7 @@ def label_sample(labels: DataFrame, column: str, keep, limit: int) -> DataFrame:
     return unique_labels(labels, column).where(keep).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of at most max_bytes of the text column (single longer texts stand alone)."""
     for batch in batches:
         sizes = pc.binary_length(batch.column(text)).fill_null(0).to_pylist()
