@@ -8,7 +8,6 @@ import numpy as np
 import pytest
 
 from voxmill.llm import chunks, decontaminate, jaccard
-from voxmill.llm.components import components
 
 
 def edit_distance_in(item, text):
@@ -140,11 +139,6 @@ def test_sampling_recall():
     assert missed == 0
 
 
-def test_components(spark):
-    e = spark.createDataFrame([(1, 2), (3, 2), (5, 4), (7, 7), (2, 9)], "u long, v long")
-    assert {x.id: x.component for x in components(e).collect()} == {1: 1, 2: 1, 3: 1, 9: 1, 4: 4, 5: 4}
-
-
 def test_gear_by_definition():
     data = np.frombuffer(bytes(range(40)), np.uint8)
     h = chunks.gear(data)

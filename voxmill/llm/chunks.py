@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm.common import small_batches, table, unused
+from voxmill.llm.common import small_batches, spread, table, unused
 
 WINDOW = 16
 RADIUS = 3
@@ -165,7 +165,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(table(spark, sf_dir, "documents"))
+    return repeated_passages(spread(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {"op10_chunk_dedup": op10}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,28 +10,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxmill.session import cut, shared_dir
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["by_key", "cut", "fold", "fresh_path", "label_sample", "shared_dir", "small_batches", "spread", "table", "texts_of", "unique_labels", "unused", "whole_groups"]
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one made here if it is unset (tests)."""
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = sc.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="voxmill-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(folder)
-    return folder
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared folder and cut its lineage; Spark's cleaner removes the files later."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt out to every core where its files can't be split into as many parts; else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

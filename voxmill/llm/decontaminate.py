@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm.common import small_batches, table, texts_of
+from voxmill.llm.common import small_batches, spread, table, texts_of
 
 ERROR_RATE = 0.08
 #: Shorter items are left out: they are phrases that clean texts hold too.
@@ -188,7 +188,7 @@ def _filter(shipped, rate: float):
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return matches(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {"op1_decontaminate": op1}

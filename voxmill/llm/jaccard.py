@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxmill.llm import textvec as tv
-from voxmill.llm.common import by_key, cut, small_batches, table, texts_of, whole_groups
-from voxmill.llm.components import components
+from voxmill.llm.common import by_key, cut, small_batches, spread, table, texts_of, whole_groups
+from voxmill.operators.graph import components
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -256,7 +256,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_documents(table(spark, sf_dir, "documents"))
+    return similar_documents(spread(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {"op3_jaccard_join": op3}

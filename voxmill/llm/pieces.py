@@ -22,7 +22,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm.common import small_batches, table, texts_of
+from voxmill.llm.common import small_batches, spread, table, texts_of
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -279,7 +279,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_trip(table(spark, sf_dir, "documents"), model_path())
+    return round_trip(spread(table(spark, sf_dir, "documents")), model_path())
 
 
 QUERIES = {"op9_piece_roundtrip": op9}

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm.common import cut, fold, table, unique_labels
+from voxmill.llm.common import cut, fold, spread, table, unique_labels
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -214,7 +214,7 @@ def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filtered(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filtered(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {"op2_quality_rules": op2}

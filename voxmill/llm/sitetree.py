@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm.common import cut, small_batches, table
+from voxmill.llm.common import cut, small_batches, spread, table
 
 GAMMA = 0.9
 LOW = 0.2
@@ -312,7 +312,7 @@ def main_text(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES, sh
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return main_text(table(spark, sf_dir, "pages"))
+    return main_text(spread(table(spark, sf_dir, "pages")))
 
 
 QUERIES = {"op4_extract": op4}

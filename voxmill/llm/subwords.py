@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxmill.llm import textvec as tv
-from voxmill.llm.common import fold, label_sample, small_batches, table, texts_of
+from voxmill.llm.common import fold, label_sample, small_batches, spread, table, texts_of
 
 BITS = 16
 BUCKETS = 1 << BITS
@@ -156,7 +156,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     out = score(docs, fit(docs, table(spark, sf_dir, "labels")))
     return out.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxmill.llm import textvec as tv
-from voxmill.llm.common import fold, label_sample, small_batches, table, texts_of
+from voxmill.llm.common import fold, label_sample, small_batches, spread, table, texts_of
 
 BITS = 20
 PREFIX = 5
@@ -291,7 +291,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, at_least: float = 0.7) ->
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     model = fit(train_rows(docs, table(spark, sf_dir, "labels")))
     out = score(docs, model)
     return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"), "n_segments", "best_start", "best_end")
