@@ -83,6 +83,20 @@ def test_registered():
     assert {int(n[2:].split("_")[0]) for n in registry.QUERIES} == set(range(1, 11))
 
 
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
+def test_matches_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for p in Path(SF).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
+    df = registry.QUERIES[name](spark, SF)
+    answer = con.execute(registry.ORACLE[name])
+    names = [c[0] for c in answer.description]
+    assert sorted(names) == sorted(df.columns)
+    assert sorted(tuple(r[c] for c in names) for r in df.collect()) == sorted(answer.fetchall())
+
+
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_queries_run(spark, name):
     assert registry.QUERIES[name](spark, SF).count() > 0

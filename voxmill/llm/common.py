@@ -52,8 +52,16 @@ def unique_labels(labels: DataFrame, column: str) -> DataFrame:
 
 
 def label_sample(labels: DataFrame, column: str, keep, limit: int) -> DataFrame:
-    """At most `limit` labelled rows that satisfy `keep`, chosen by a hash of the id: of proven size, so it may be broadcast."""
-    return unique_labels(labels, column).where(keep).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    """At most `limit` labelled rows that satisfy `keep`, chosen by a hash of the id: of proven size, so it may be broadcast.
+
+    Of more rows than that a share by hash is taken first, so that the final order sees about `limit` rows from all partitions together.
+    """
+    rows = unique_labels(labels, column).where(keep)
+    share = min(1.0, limit / max(rows.count(), 1))
+    place = F.xxhash64("doc_id")
+    if share < 1:
+        rows = rows.where(F.pmod(place, F.lit(1 << 30)) < int(share * (1 << 30)))
+    return rows.orderBy(place, "doc_id").limit(limit)
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:

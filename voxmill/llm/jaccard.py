@@ -260,3 +260,16 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_jaccard_join": op3}
+
+#: By brute force: all pairs of sets that share a shingle, and all sets that links reach.
+ORACLE = {
+    "op3_jaccard_join": r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+      k AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS g FROM w),
+      sets AS (SELECT g, min(doc_id) AS id, count(*) AS copies, len(g) AS n FROM k GROUP BY g),
+      t AS (SELECT id, n, copies, unnest(g) AS x FROM sets),
+      p AS (SELECT a.id AS a, b.id AS b, any_value(b.copies) AS c FROM t a JOIN t b ON a.x = b.x AND a.id <> b.id GROUP BY a.id, b.id HAVING 5 * count(*) >= 4 * (any_value(a.n) + any_value(b.n) - count(*))),
+      links AS (SELECT a, sum(c) AS links FROM p GROUP BY a),
+      reach(id, r) AS (SELECT id, id FROM sets UNION SELECT reach.id, p.b FROM reach JOIN p ON reach.r = p.a),
+      class AS (SELECT id, min(r) AS class_id FROM reach GROUP BY id)
+      SELECT k.doc_id, sets.id AS set_id, class.class_id, CAST(coalesce(links.links, 0) + sets.copies - 1 AS BIGINT) AS n_links FROM k JOIN sets ON k.g = sets.g JOIN class ON class.id = sets.id LEFT JOIN links ON links.a = sets.id""",
+}
