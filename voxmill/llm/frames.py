@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm.common import fresh_path, small_batches, table, texts_of
+from voxmill.llm.common import fresh_path, small_batches, table
 
 FRAME_IDS = 1 << 18
 #: Ids after which the next document opens a new file.
@@ -36,7 +36,7 @@ LEVEL = 1
 END = 0
 VOCABULARY = "byte_bpe_50k.json"
 #: Words that one worker remembers, in each of two tables: when the young one is full it becomes the old one.
-WORD_TABLE = 600_000
+WORD_TABLE = 750_000
 #: Words that are encoded as one text.
 LINES = 2_000
 #: Punctuation that the splitting pattern sets apart from a letter or digit before it (an apostrophe may begin a contraction).
@@ -96,44 +96,39 @@ class Encoder:
         if len(self.marks) > LINES:
             self.marks = {"": b""}
         young, old = self.young, self.old
-        found = [young.get(w, 0) for w in words]
-        new = []
-        for i, x in enumerate(found):
-            if x == 0:
-                w = words[i]
-                if w in old:
-                    found[i] = young[w] = old[w]
-                else:
-                    new.append(i)
         # marks behind a letter or digit are apart from it: only what stands before them has to be known
         heads: dict[str, bytes | None] = {}
-        cut: list[tuple[int, str, str]] = []
-        for i in new:
-            w = words[i]
-            head = w.rstrip(_MARKS)
-            if w.split() != [w] or w == "\0":
-                young[w] = found[i] = None
-            elif head != w and head and head[-1].isalnum():
-                cut.append((i, head, w[len(head) :]))
-                heads[head] = young.get(head) or old.get(head)
-            else:
+        cut: list[tuple[str, str]] = []
+        for w in [w for w in words if w not in young]:
+            if w in old:
+                young[w] = old[w]
+            elif not w.isprintable() and (w.split() != [w] or w == "\0") or not w:
+                young[w] = None
+            elif not w[-1].isalnum() and (head := w.rstrip(_MARKS)) != w and head and head[-1].isalnum():
+                cut.append((w, head))
+                if head not in heads:
+                    heads[head] = young.get(head) or old.get(head)
+            elif w not in heads:
                 heads[w] = None
-                cut.append((i, w, ""))
-        spaced, bare = [w for w, x in heads.items() if not x and w[0] != "\0"], [w for w, x in heads.items() if not x and w[0] == "\0"]
+        missing = [w for w, x in heads.items() if not x]
+        spaced, bare = [w for w in missing if w[0] != "\0"], [w for w in missing if w[0] == "\0"]
         heads.update(zip(spaced, self._lines(spaced, " "), strict=True))
         end = np.array([self.line], dtype="<u4").tobytes()
         heads.update((w, end + ids) for w, ids in zip(bare, self._lines([w[1:] for w in bare], ""), strict=True))
         young.update(heads)
-        tails = list({t for _, _, t in cut if t not in self.marks})
+        tails = list({w[len(head) :] for w, head in cut} - self.marks.keys())
         self.marks.update(zip(tails, self.whole(tails), strict=True))
-        for i, head, tail in cut:
-            young[words[i]] = found[i] = heads[head] + self.marks[tail]
-        return found
+        marks = self.marks
+        young.update([(w, heads[head] + marks[w[len(head) :]]) for w, head in cut])
+        return list(map(young.__getitem__, words))
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def __call__(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """Ids of each text, null as the empty one."""
+        column = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
         # each text starts like a line, whose end is cut off again; distinct words are found, and ids put together, in Arrow
-        column = pa.array(["" if "\0" in t else "\0" + t for t in texts], pa.large_string())
-        split = pc.split_pattern(pc.replace_substring(column, "\n", " \0"), " ")
+        nul, none = pa.scalar("\0", pa.large_string()), pa.scalar("", pa.large_string())
+        marked = pc.if_else(pc.match_substring(column, "\0"), none, pc.binary_join_element_wise(nul, pc.replace_substring(column, "\n", " \0"), none))
+        split = pc.split_pattern(marked, " ")
         words = split.values.dictionary_encode()
         ids = pa.array(self._ids(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices)
         edges = split.offsets.to_numpy()
@@ -142,7 +137,7 @@ class Encoder:
         at = offsets[edges]
         out = [bytes(data[a + 4 : b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         rest = np.unique(np.searchsorted(edges, np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False)), side="right") - 1).tolist()
-        for i, whole in zip(rest, self.whole([texts[i] for i in rest]), strict=True):
+        for i, whole in zip(rest, self.whole([column[i].as_py() for i in rest]), strict=True):
             out[i] = whole
         return out
 
@@ -269,7 +264,7 @@ def _write(folder: str, path: str, file_ids: int, frame_ids: int):
             done.append((part, len(done), f"{folder}/ids-{part:06d}-{len(done):06d}.zst", len(out.docs), out.total))
 
         for batch in small_batches(batches, "text", 4 << 20):
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch)), strict=True):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text")), strict=True):
                 if out is None:
                     out = Writer(f"{folder}/ids-{part:06d}-{len(done):06d}.zst", frame_ids)
                 out.add(doc_id, ids + end)
