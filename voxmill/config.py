@@ -1,4 +1,4 @@
-"""Parameters of all operators, with the shipped defaults; JSON files override them."""
+"""Parameters of all operators. The defaults are fixed values that results depend on; JSON files override them."""
 
 from __future__ import annotations
 

@@ -58,5 +58,6 @@ def preview(text: Column, n: int) -> Column:
 def stem_kind(name: Column) -> Column:
     """vocals, no_vocals or null by what a stem file's name contains."""
     low = F.lower(name)
+    # fixed values: what names of stems hold
     rest = low.contains("instrumental") | low.contains("no_vocals") | low.contains("other") | low.contains("accompaniment")
     return F.when(rest, "no_vocals").when(low.contains("vocal"), "vocals")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Upper bounds in ms and names of the duration buckets, right-open.
+#: Upper bounds in ms and names of the duration buckets, right-open.
 BUCKETS = ((500, "<0.5s"), (1000, "0.5-1s"), (2000, "1-2s"), (3000, "2-3s"), (5000, "3-5s"), (10_000, "5-10s"), (15_000, "10-15s"), (30_000, "15-30s"), (None, ">=30s"))
 
 

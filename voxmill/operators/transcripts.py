@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from voxmill.config import Asr
 from voxmill.functions.text import contains_script, non_linguistic
 
+#: Reason codes in the order in which they are tested.
 REASONS = ("ok", "too_short", "empty_result", "transcribe_error", "empty_text", "text_too_short", "no_chinese", "non_linguistic", "low_confidence")
 
 

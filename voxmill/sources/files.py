@@ -14,6 +14,7 @@ from voxmill.functions.audio import decode_wav
 from voxmill.functions.dsp import peak_normalise, resample_poly
 from voxmill.functions.text import decode_key, stem
 
+#: File types.
 VIDEO = "*.{mp4,mov,mkv,webm}"
 AUDIO = "*.{wav,mp3,flac,m4a}"
 
