@@ -114,6 +114,23 @@ def test_links_by_brute_force(docs_of, prose, leaf):
     assert sum(map(len, near.values())) > 100
 
 
+def test_large_groups_of_near_copies(docs_of, prose):
+    """Groups far over a leaf, each of another seed: a split may not lose rows from which the next run samples nothing."""
+    r, rows, size = random.Random(8), [], {}
+    for g, n in enumerate([300] * 24 + [600] * 8 + [2000]):
+        base = prose(40_000 + g, 200).split()
+        size[len(rows)] = n
+        for i in range(n):
+            w = list(base)
+            w[r.randrange(len(w))] = f"edit{i}"
+            rows.append((len(rows), " ".join(w)))
+    got = {}
+    for x in jaccard.similar_documents(docs_of(rows)).select("class_id", "n_links").collect():
+        got.setdefault(x.class_id, []).append(x.n_links)
+    assert {c: len(n) for c, n in got.items()} == size
+    assert all(n == [size[c] - 1] * size[c] for c, n in got.items())
+
+
 def test_one_of_each_class_stays(spark, docs_of, prose):
     text = prose(1, 50)
     df = docs_of([(4, text), (3, text), (3, text), (5, prose(2, 50)), (None, text), (6, None), (7, "")]).selectExpr("*", "1 AS class_id", "2 AS links")
