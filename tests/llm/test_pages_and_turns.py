@@ -64,6 +64,22 @@ def test_style_tree(spark, prose):
     assert sitetree.main_text(df.limit(0)).count() == 0
 
 
+def test_importance_outside_articles(spark, prose):
+    """What differs from page to page stays beside a teaser article and on pages without article; what the pages share goes."""
+    shared = "<div class=q><p>Shared words of the site</p></div>"
+    rows = [(i, "http://a.example/", f"{shared}<main><p>{prose(i, 30)} <b>x{i}</b></p><article><p>The same teaser</p></article></main>") for i in range(30)]
+    rows += [(100 + i, "http://b.example/", f"{shared}<div class=z><p>{prose(i, 30)}</p></div><article><h2>Teaser {i}</h2></article>") for i in range(30)]
+    rows += [(200 + i, "http://c.example/", f"{shared}<div class=z><p>{prose(i, 30)}</p></div>") for i in range(30)]
+    rows += [(300 + i, "http://d.example/", f"{shared}<article><p>{prose(i, 30)}</p></article><div class=ad>{prose(500 + i, 9)}</div>") for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for ship in (1000, 0):
+        got = {x.page_id: x.text for x in sitetree.main_text(df, ship=ship).collect()}
+        for i in range(30):
+            assert got[i] == f"{prose(i, 30)} x{i}"
+            assert got[100 + i] == f"{prose(i, 30)} Teaser {i}"
+            assert got[200 + i] == got[300 + i] == prose(i, 30)
+
+
 def test_importance_by_definition(spark):
     rows = [(i, "http://h/", f"<div><p>{'same' if i % 2 else i}</p></div>" + "<hr>" * (i % 4 == 0)) for i in range(32)]
     got = {x.path: (x.pages, x.importance) for x in sitetree.importance(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}

@@ -8,7 +8,8 @@ presentations. A page loses the branches of importance below LOW. Features are c
 over the paths below it, which are few.
 
 Menus, adverts and the like whose texts differ from page to page look important to such statistics. So elements that say what they
-are (nav, footer, class="ad") go by their names first, and an article or main element, if there is one, holds the text.
+are (nav, footer, class="ad") go by their names first. Of the others, branches of importance HIGH or more stay wherever they are. An article
+or main element, or else names such as content, decide about the rest: branches between LOW and HIGH, and those of paths on too few pages.
 """
 
 from __future__ import annotations
@@ -28,11 +29,13 @@ from voxmill.llm.common import cut, small_batches, spread, table
 
 GAMMA = 0.9
 LOW = 0.2
+#: Branches of this importance stay, outside of an article or main element too.
+HIGH = 0.5
 #: Pages that a path must have before its importance counts.
 MIN_PAGES = 20
 #: Elements below this depth have the path of the one at it; elements don't nest deeper than NESTING, but follow each other there.
 PATH_DEPTH, NESTING = 48, 512
-#: Low paths that may be sent to every task; about 10 MB.
+#: Low and high paths that may be sent to every task; about 10 MB.
 SHIP = 100_000
 #: Keys that a task sums pages by before it passes them on.
 FLUSH = 50_000
@@ -193,13 +196,13 @@ def _noise(page: Page, i: int, in_article: bool, holder: bool) -> bool:
     return not holder and bool(page.words[i] & _NOISE_WORDS) and tag not in _INLINE | {"h1"}
 
 
-def extract(html: str | None, low_paths: frozenset = frozenset()) -> str:
-    """Main text of a page: blocks in page order, joined by one space; empty if there is none."""
+def extract(html: str | None, low_paths: frozenset = frozenset(), high_paths: frozenset = frozenset()) -> str:
+    """Main text of a page: blocks in page order, joined by one space; empty if there is none. The paths are those of its host."""
     if not html:
         return ""
     page = parse(html)
     n = len(page.tag)
-    noise, article, main, named, holder = ([False] * n for _ in range(5))
+    noise, article, main, named, holder, high = ([False] * n for _ in range(6))
     for i in range(n):
         if page.tag[i] in ("article", "main") and not holder[i]:
             p = page.parent[i]
@@ -214,6 +217,8 @@ def extract(html: str | None, low_paths: frozenset = frozenset()) -> str:
         # what holds an article or main element isn't noise by its name
         holds = holder[i] or page.tag[i] in ("root", "html", "body", "article", "main")
         noise[i] = (up and noise[p]) or _noise(page, i, article[i] or main[i], holder[i]) or (not holds and page.path[i] in low_paths)
+        # the importance of what holds an article or main element is that of the element
+        high[i] = not holds and ((up and high[p]) or page.path[i] in high_paths)
         named[i] = (up and named[p]) or (page.tag[i] in ("div", "section", "td") and bool(page.words[i] & _MAIN_WORDS))
     kept = []
     for node, block, text in page.texts:
@@ -223,7 +228,7 @@ def extract(html: str | None, low_paths: frozenset = frozenset()) -> str:
     for chosen in (article, main, named):
         inside = [x for x in kept if chosen[x[0]]]
         if any(t.strip() for _, _, t in inside):
-            kept = inside
+            kept = [x for x in kept if chosen[x[0]] or high[x[0]]]
             break
     blocks, last = [], None
     for _, block, text in kept:
@@ -280,35 +285,37 @@ def importance(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
 
 
 def _extracted(paths_of):
-    """paths_of: from a batch and a row's number and host to the host's low paths."""
+    """paths_of: from a batch and a row's number and host to the host's low and high paths."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "html"):
             urls = batch.column("url").to_pylist()
-            out = [extract(html, paths_of(batch, i, host_of(u))) for i, (u, html) in enumerate(zip(urls, batch.column("html").to_pylist(), strict=True))]
+            out = [extract(html, *paths_of(batch, i, host_of(u))) for i, (u, html) in enumerate(zip(urls, batch.column("html").to_pylist(), strict=True))]
             yield pa.RecordBatch.from_pydict({"page_id": batch.column("page_id"), "url": batch.column("url"), "text": pa.array(out, pa.string()), "n_chars": pa.array(map(len, out), pa.int64())})
 
     return run
 
 
-def main_text(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES, ship: int = SHIP) -> DataFrame:
+def main_text(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES, ship: int = SHIP, high: float = HIGH) -> DataFrame:
     """page_id, url, text, n_chars for each row of pages (page_id, url, html).
 
     Null and empty pages have the empty text. Pages without a host share one. Repeated rows count as pages each. Hosts of fewer than
-    min_pages pages lose nothing by statistics. Further columns are ignored. Up to `ship` low paths go to every task; more are joined by host.
+    min_pages pages lose nothing by statistics. Further columns are ignored. Up to `ship` low and high paths go to every task; more are joined by host.
     """
-    weak = cut(importance(pages, min_pages).where(F.col("importance") < low).select("host", "path"))
+    is_low = F.col("importance") < low
+    told = cut(importance(pages, min_pages).where(is_low | (F.col("importance") >= high)).select("host", "path", is_low.alias("low")))
     schema = "page_id long, url string, text string, n_chars long"
-    if weak.count() <= ship:
-        known: dict[str, set] = {}
-        for r in weak.collect():  # at most `ship` paths
-            known.setdefault(r["host"], set()).add(r["path"])
-        none: frozenset = frozenset()
-        shipped = pages.sparkSession.sparkContext.broadcast({h: frozenset(p) for h, p in known.items()})
+    if told.count() <= ship:
+        known: dict[str, tuple[set, set]] = {}
+        for r in told.collect():  # at most `ship` paths
+            known.setdefault(r["host"], (set(), set()))[0 if r["low"] else 1].add(r["path"])
+        none = (frozenset(), frozenset())
+        shipped = pages.sparkSession.sparkContext.broadcast({h: (frozenset(weak), frozenset(strong)) for h, (weak, strong) in known.items()})
         return pages.select("page_id", "url", "html").mapInArrow(_extracted(lambda batch, i, host: shipped.value.get(host, none)), schema)
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
-    joined = pages.select("page_id", "url", "html", host.alias("host")).join(weak.groupBy("host").agg(F.collect_set("path").alias("low")), "host", "left")
-    return joined.mapInArrow(_extracted(lambda batch, i, host: frozenset(batch.column("low")[i].as_py() or ())), schema)
+    paths = told.groupBy("host").agg(F.collect_set(F.when(F.col("low"), F.col("path"))).alias("low"), F.collect_set(F.when(~F.col("low"), F.col("path"))).alias("high"))
+    joined = pages.select("page_id", "url", "html", host.alias("host")).join(paths, "host", "left")
+    return joined.mapInArrow(_extracted(lambda batch, i, host: tuple(frozenset(batch.column(c)[i].as_py() or ()) for c in ("low", "high"))), schema)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
