@@ -95,6 +95,17 @@ def test_files(spark, docs_of, tmp_path, file_ids, frame_ids):
     assert not list((tmp_path / "ids").glob("*.part"))
 
 
+def test_ids_as_the_library():
+    """All texts by the library's defaults, which take the string of an added token for the token."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(frames.vocabulary_path())
+    some = [*texts(300), "<|endoftext|>", "a<|endoftext|>b c", "a\n<|endoftext|>\n<|endoftext|> ,", "<|endoftext|", "x <|endoftext|>\0"]
+    want = [np.array(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in some]
+    assert frames.Encoder(frames.vocabulary_path())(some) == want
+    assert np.frombuffer(want[-5], dtype="<u4").tolist() == [50256]
+
+
 def test_reader_touches_few_frames(tmp_path):
     path = str(tmp_path / "f.zst")
     w = frames.Writer(path, frame_ids=100)

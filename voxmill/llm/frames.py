@@ -57,7 +57,7 @@ class Encoder:
     Its splitting pattern never joins a space or line end to what stands before it, if that is no white space, nor a line end to
     what follows, if that is none either. So a text whose white space is single spaces and line ends between other characters is encoded word by
     word: words behind a space, and words behind a line end, for which a NUL stands here. Words met before come from bounded
-    tables. Texts with other white space, or NULs, are encoded whole.
+    tables. Texts with other white space, NULs, or the string of an added token such as <|endoftext|>, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -65,7 +65,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         (self.line,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.marks: dict[str, bytes] = {"": b""}
         #: Ids of each word, None for a word that can't be encoded alone.
@@ -127,7 +127,10 @@ class Encoder:
         column = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
         # each text starts like a line, whose end is cut off again; distinct words are found, and ids put together, in Arrow
         nul, none = pa.scalar("\0", pa.large_string()), pa.scalar("", pa.large_string())
-        marked = pc.if_else(pc.match_substring(column, "\0"), none, pc.binary_join_element_wise(nul, pc.replace_substring(column, "\n", " \0"), none))
+        apart = pc.match_substring(column, "\0")
+        for token in self.added:
+            apart = pc.or_(apart, pc.match_substring(column, token))
+        marked = pc.if_else(apart, none, pc.binary_join_element_wise(nul, pc.replace_substring(column, "\n", " \0"), none))
         split = pc.split_pattern(marked, " ")
         words = split.values.dictionary_encode()
         ids = pa.array(self._ids(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices)
