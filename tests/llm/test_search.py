@@ -131,6 +131,60 @@ def test_large_groups_of_near_copies(docs_of, prose):
     assert all(n == [size[c] - 1] * size[c] for c, n in got.items())
 
 
+def by_rows(rows):
+    """(doc_id, n_links, class_id) of each row by comparing all rows; ids may repeat."""
+    sets = [shingles(t) for _, t in rows]
+    near = [[j for j in range(len(rows)) if j != i and (a == sets[j] or 10 * len(a & sets[j]) >= 8 * len(a | sets[j]))] for i, a in enumerate(sets)]
+    out = []
+    for i, (doc, _) in enumerate(rows):
+        seen, todo = {i}, [i]
+        while todo:
+            new = set(near[todo.pop()]) - seen
+            seen |= new
+            todo += new
+        out.append((doc, len(near[i]), min(rows[j][0] for j in seen)))
+    return out
+
+
+@pytest.mark.parametrize("leaf", [256, 4])
+def test_repeated_ids(docs_of, prose, leaf):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(1, a), (1, b), (2, b + " x"), (3, a + " y"), (3, a + " y"), (4, c), (1, c + " z"), (5, a + " w"), (5, b + " w"), (1, "")]
+    rows += [(6, f"{prose(4, 60)} v{i}") for i in range(9)]
+    for given in (rows, rows[::-1]):
+        got = jaccard.similar_documents(docs_of(given).repartition(3), leaf=leaf).collect()
+        assert sorted((x.doc_id, x.n_links, x.class_id) for x in got) == sorted(by_rows(rows))
+    kept = sorted((x.doc_id, x.text[:20]) for x in jaccard.keep_one(docs_of(rows)).collect())
+    assert kept == sorted([(1, a[:20]), (1, b[:20]), (1, c[:20]), (1, ""), (6, prose(4, 60)[:20])])
+
+
+def test_recall_where_buckets_split(docs_of, prose):
+    """Pairs of similarity 0.8 to 0.85 among texts that share a passage, in buckets that are split at every level."""
+    r, common, rows = random.Random(4), prose(60_000, 40), []
+    for i in range(900):
+        own = prose(61_000 + i, 80).split()
+        rows.append((len(rows), " ".join([common, *own])))
+        if i < 450:
+            own[r.randrange(8, 12)] = own[r.randrange(68, 72)] = f"edit{i}"
+            own[-1] = f"edit{i}"
+            rows.append((len(rows), " ".join([common, *own])))
+    sims = [len(shingles(rows[i][1]) & shingles(rows[i + 1][1])) / len(shingles(rows[i][1]) | shingles(rows[i + 1][1])) for i in range(0, 900, 2)]
+    assert all(0.8 <= x <= 0.85 for x in sims)
+    got = {x.doc_id: x.n_links for x in jaccard.similar_documents(docs_of(rows), leaf=8).collect()}
+    assert sum(got[i] for i in range(900)) >= 0.99 * 900 and not any(got[i] for i in range(900, len(rows)))
+
+
+def test_core_by_definition():
+    """Sets of the core are similar to each other, whatever the middle is."""
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 1 << 63, 120, dtype=np.uint64))
+    sets = [np.unique(np.concatenate([rng.choice(base, len(base) - rng.integers(0, 14), replace=False), rng.integers(0, 1 << 63, rng.integers(0, 14), dtype=np.uint64)])) for _ in range(60)]
+    for similarity in (0.8, 0.7, 0.95):
+        core = [s for s in sets if jaccard.in_core(s, base, similarity)]
+        assert jaccard.similar(core, similarity).sum() == len(core) * (len(core) - 1) and core
+    assert not jaccard.in_core(base, base[:0], 0.8)
+
+
 def test_one_of_each_class_stays(spark, docs_of, prose):
     text = prose(1, 50)
     df = docs_of([(4, text), (3, text), (3, text), (5, prose(2, 50)), (None, text), (6, None), (7, "")]).selectExpr("*", "1 AS class_id", "2 AS links")

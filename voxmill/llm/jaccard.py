@@ -1,20 +1,30 @@
 """N-gram Jaccard self-join by chosen paths (operator 3).
 
 A document is its set of five-word shingles. Each of RUNS independent runs samples about BRANCH of its shingles by a hash that all
-documents share; documents meet in the bucket of a sampled shingle. Buckets of over LEAF documents are split again on the
-shingles that the next run's hash samples, and so on; documents of which it samples none are compared with all of their bucket, and
-buckets that are large at level LEVELS with themselves, in blocks, so no bucket is capped and no split drops a document. Small buckets are brute-forced on sketches of 64 minima, whose loose threshold only forms candidate groups. Within
-these groups every pair is then compared exactly, in blocks, so that counts of links don't depend on which runs found them.
-
-Two sets of similarity 0.8 miss each other in one run with probability 0.33 if they are of one size and 0.37 if one holds the other, in all
-runs with 1.5e-5 and 4.5e-5. A split parts two sets only if it samples shingles of both and none in common: in simulation, where all
-their buckets stay large at each level, they miss each other with 7e-5 and 5e-4.
+documents share; documents meet in the bucket of a sampled shingle. A bucket of over LEAF documents is split again, up to LEVELS - 1
+times: each document goes on with the shingles that are least under SPLIT hashes of that run and level, of which every
+document has some, so that no split drops one. Small buckets are brute-forced on sketches of 64 minima, whose loose threshold only
+forms candidate groups.
+
+Large groups of near copies can't be split, as they share what is sampled. So each large bucket is first held against PIVOTS
+of its documents: those alike to a pivot form a star. If at most LEAF are left, or no level is, these are compared with the whole bucket, in
+blocks, and the bucket is done. No bucket is capped, and work grows with the square of what is alike to no pivot after all splits alone.
+
+Within the candidate groups every pair counts exactly. In a group of over LEAF sets let R be any set, and the cost of a member
+S be 5 |R - S| + 4 |S - R|. Two members whose costs add up to at most |R| have a similarity of 0.8 or more, so the links among
+those of a cost up to |R| / 2 are known without a comparison. The others are compared with the whole group, in blocks. R holds
+the shingles of most of up to CENTRE members; links don't depend on it.
+
+Two sets of similarity 0.8 miss each other in one run with probability 0.33 if they are of one size and 0.37 if one holds the other, and in
+each split with 0.04, so in all runs with 1.5e-5 and 4.5e-5 where their buckets are small, and with 1e-4 and 2e-4 where they are
+large at every level.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxmill.llm import textvec as tv
-from voxmill.llm.common import by_key, cut, small_batches, spread, table, texts_of, whole_groups
+from voxmill.llm.common import by_key, cut, small_batches, spread, table, texts_of, unused, whole_groups
 from voxmill.operators.graph import components
 
 WORDS = 5
@@ -30,8 +40,14 @@ SIMILARITY = 0.8
 RUNS = 10
 BRANCH = 1.25
 LEVELS = 4
+#: Minima of each run and level that a document of a large bucket goes on with.
+SPLIT = 2
 #: Documents of a bucket or block that one brute-force step compares.
 LEAF = 256
+#: Documents of a large bucket that all others are held against.
+PIVOTS = 8
+#: Members of a large group that its middle is made of.
+CENTRE = 15
 SKETCH = 64
 #: Equal minima that make a candidate: at similarity 0.8, 38 or more of 64 with probability 0.99999.
 SKETCH_HITS = 38
@@ -74,24 +90,26 @@ def sampled(tokens: np.ndarray) -> list[np.ndarray]:
     return [h[h < top] for h in hashed]
 
 
-def sketch(tokens: np.ndarray) -> bytes:
-    """A byte of the least hash under each of 64 functions."""
+def minima(tokens: np.ndarray) -> np.ndarray:
+    """The least hash under each of 64 functions, mixed to 32 bits."""
     if not len(tokens):
-        return bytes(SKETCH)
+        return np.zeros(SKETCH, dtype=np.uint32)
     least = np.empty(SKETCH, dtype=np.uint64)
     for a in range(0, SKETCH, 16):
         least[a : a + 16] = (tokens[None, :] * _MINIMA[a : a + 16, None]).min(axis=1)
-    return tv.mix(least).astype(np.uint8).tobytes()
+    return tv.mix(least).astype(np.uint32)
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
-        digest, sketches, keys = [], [], []
+        digest, sketches, splits, keys = [], [], [], []
         for tokens in shingle_sets(texts_of(batch)):
+            least = minima(tokens)
             digest.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
-            sketches.append(sketch(tokens))
+            sketches.append(least.astype(np.uint8).tobytes())
+            splits.append(least[: RUNS * (LEVELS - 1) * SPLIT].tobytes())
             keys.append([x.view(np.int64).tolist() for x in sampled(tokens)] if len(tokens) else [])
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "digest": digest, "sketch": sketches, "keys": pa.array(keys, pa.list_(pa.list_(pa.int64())))})
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "digest": digest, "sketch": sketches, "splits": splits, "keys": pa.array(keys, pa.list_(pa.list_(pa.int64())))})
 
 
 def _labels(near: np.ndarray) -> np.ndarray:
@@ -109,7 +127,7 @@ def _labels(near: np.ndarray) -> np.ndarray:
 def _candidate_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stars over the components of alike sketches in each bucket."""
     for batch in whole_groups(batches, ["path", "part"]):
-        path, part, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("path", "part", "id"))
+        path, part, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("path", "part", "sid"))
         rows = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, SKETCH)
         new = np.flatnonzero(np.concatenate(([True], (path[1:] != path[:-1]) | (part[1:] != part[:-1]), [True])))
         size = np.diff(new)
@@ -132,10 +150,55 @@ def _candidate_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_pydict({"u": pairs[:, 0], "v": pairs[:, 1]})
 
 
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each row of a large bucket the first pivot that it is alike to, null if there is none."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, SKETCH)
+        pivots = batch.column("pivots").to_pylist()
+        owner = np.repeat(np.arange(len(rows)), [len(p) for p in pivots])
+        flat = np.frombuffer(b"".join([x["sketch"] for p in pivots for x in p]), dtype=np.uint8).reshape(-1, SKETCH)
+        ids = np.array([x["sid"] for p in pivots for x in p], dtype=np.int64)
+        hit = np.flatnonzero((rows[owner] == flat).sum(axis=1) >= SKETCH_HITS)
+        # the first of each row's hits
+        owners, first = np.unique(owner[hit], return_index=True)
+        star, found = np.zeros(len(rows), dtype=np.int64), np.zeros(len(rows), dtype=bool)
+        star[owners], found[owners] = ids[hit[first]], True
+        yield pa.RecordBatch.from_pydict({**{c: batch.column(c) for c in ("path", "run", "sid", "place", "n")}, "star": pa.array(star, mask=~found)})
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
         data = [t.tobytes() for t in shingle_sets(texts_of(batch))]
-        yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "component": batch.column("component"), "n": batch.column("n"), "copies": batch.column("copies"), "tokens": pa.array(data, pa.binary())})
+        yield pa.RecordBatch.from_pydict({**{c: batch.column(c) for c in ("sid", "component", "n", "copies", "place")}, "tokens": pa.array(data, pa.binary())})
+
+
+def _middles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles that over half of a group's chosen members have."""
+    for batch in batches:
+        out = []
+        for i in range(batch.num_rows):
+            sets = [np.frombuffer(x, dtype=np.uint64) for x in batch.column("chosen")[i].as_py()]
+            token, count = np.unique(np.concatenate(sets), return_counts=True)
+            out.append(token[2 * count > len(sets)].tobytes())
+        yield pa.RecordBatch.from_pydict({"component": batch.column("component"), "middle": pa.array(out, pa.binary())})
+
+
+def in_core(tokens: np.ndarray, middle: np.ndarray, similarity: float) -> bool:
+    """Whether a set is so close to `middle` that it is similar to every other such set."""
+    p, q = Fraction(round(similarity * 1_000_000), 1_000_000).as_integer_ratio()
+    common = len(np.intersect1d(tokens, middle, assume_unique=True))
+    return len(middle) > 0 and 2 * (q * (len(middle) - common) + p * (len(tokens) - common)) <= (q - p) * len(middle)
+
+
+def _costs(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            core = [in_core(np.frombuffer(t, dtype=np.uint64), np.frombuffer(m, dtype=np.uint64), similarity) for t, m in zip(batch.column("tokens").to_pylist(), batch.column("middle").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_pydict({**{c: batch.column(c) for c in ("component", "sid", "copies")}, "core": pa.array(core, pa.bool_())})
+
+    return run
 
 
 def similar(sets: list[np.ndarray], similarity: float = SIMILARITY) -> np.ndarray:
@@ -175,7 +238,7 @@ def _exact(similarity: float):
         """Per member of each pair of blocks: documents that it is linked to there, and the least member that links lead to."""
         for batch in whole_groups(batches, ["component", "part"]):
             group = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("component", "part")], axis=1)
-            ids, block, copies, cross = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "block", "copies", "cross"))
+            ids, block, copies, cross = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("sid", "block", "copies", "cross"))
             tokens = batch.column("tokens")
             new = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]).any(axis=1), [True]))).tolist()
             links, root = np.zeros(len(ids), dtype=np.int64), ids.copy()
@@ -185,62 +248,116 @@ def _exact(similarity: float):
                     near &= block[a:b, None] != block[None, a:b]
                 links[a:b] = near @ copies[a:b]
                 root[a:b] = ids[a:b][_labels(near)]
-            yield pa.RecordBatch.from_pydict({"id": ids, "links": links, "root": root})
+            yield pa.RecordBatch.from_pydict({"sid": ids, "links": links, "root": root})
 
     return run
 
 
-def _blocks(df: DataFrame, key: str, leaf: int) -> DataFrame:
-    """Groups of n > leaf rows as all pairs of their blocks of about half as many; part names the pair, block the row's own."""
-    many = F.when(F.col("n") > leaf, F.ceil(F.col("n") * 2 / leaf)).otherwise(1).cast("long")
-    # from the first 63 bits of a hash other than the one that deals rows out
-    block = F.pmod(F.xxhash64(F.lit("block"), key, "id"), many)
-    spread = df.withColumns({"many": many, "block": block}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("many") - 1)))
+def _blocks(rows: DataFrame, key: str, leaf: int) -> DataFrame:
+    """Rows (key, place, n, rest and others) of groups of any size, dealt into the pairs of their blocks that hold a row with `rest`.
+
+    A group of up to `leaf` rows is one block. The others have blocks of about half as many: the first ones for the rows with
+    `rest`, the ones behind for the rows without, which meet the first ones alone. part names the pair, block the row's own, and
+    cross says that rows of one block aren't to be compared there.
+    """
+    whole = rows.where(F.col("n") <= leaf).withColumns({"part": F.lit(0).cast("long"), "block": F.lit(0).cast("long"), "cross": F.lit(False)})
+    large = rows.where(F.col("n") > leaf)
+    sizes = large.groupBy(key).agg(F.count(F.when(F.col("rest"), 1)).alias("rests")).where("rests > 0")
+    first = F.ceil(F.col("rests") * 2 / leaf).cast("long")
+    many = first + F.ceil((F.col("n") - F.col("rests")) * 2 / leaf).cast("long")
+    # another hash than the one that deals rows out to tasks
+    dealt = F.xxhash64(F.lit("block"), "place")
+    block = F.when(F.col("rest"), F.pmod(dealt, F.col("first"))).otherwise(F.col("first") + F.pmod(dealt, F.greatest(F.col("many") - F.col("first"), F.lit(1))))
+    pairs = large.join(sizes, key).withColumns({"first": first, "many": many}).withColumn("block", block)
+    pairs = pairs.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("rest"), F.col("many")).otherwise(F.col("first")) - 1)))
     part = F.least("block", "other") * F.col("many") + F.greatest("block", "other")
-    # the parts of a block with itself are the multiples of many + 1
-    return spread.withColumn("part", part).withColumn("cross", F.col("part") % (F.col("many") + 1) != 0).drop("other", "many")
+    pairs = pairs.withColumn("part", part).withColumn("cross", F.col("block") != F.col("other"))
+    # in the part of two blocks every row is cross, in that of a block with itself none
+    return whole.unionByName(pairs.drop("first", "many", "other", "rests"))
 
 
-def _rest_blocks(large: DataFrame, leaf: int) -> DataFrame:
-    """(path, part, id) of all pairs of blocks of a large bucket, one of which at least holds the rows that its next split would lose.
+def _held_against_pivots(large: DataFrame, reps: DataFrame) -> DataFrame:
+    """(path, run, sid, place, n, star) of the rows of large buckets (path, run, sid, place, n): star is a pivot that a row is alike to, or null."""
+    rows = large.join(reps.select("sid", "sketch"), "sid")
+    at = F.xxhash64(F.lit("pivot"), "path", "place")
+    chosen = rows.groupBy("path", F.pmod(at, F.lit(PIVOTS)).alias("nth")).agg(F.min(F.struct(at.alias("at"), "sid", "sketch")).alias("x"))
+    pivots = chosen.groupBy("path").agg(F.sort_array(F.collect_list("x")).alias("x")).select("path", F.transform("x", lambda x: F.struct(x["sid"].alias("sid"), x["sketch"].alias("sketch"))).alias("pivots"))
+    return rows.join(pivots, "path").select("path", "run", "sid", "place", "n", "sketch", "pivots").mapInArrow(_stars, "path long, run int, sid long, place long, n long, star long")
 
-    large: (path, id, keys, n); rows without keys are the ones that get lost. They fill the first blocks of a bucket, the others those behind.
-    """
-    lost = F.size("keys") == 0
-    rest = large.groupBy("path").agg(F.count(F.when(lost, 1)).alias("rest")).where("rest > 0")
-    first = F.ceil(F.col("rest") * 2 / leaf).cast("long")
-    many = first + F.ceil((F.col("n") - F.col("rest")) * 2 / leaf).cast("long")
-    dealt = F.xxhash64(F.lit("rest"), "path", "id")
-    block = F.when(lost, F.pmod(dealt, F.col("first"))).otherwise(F.col("first") + F.pmod(dealt, F.greatest(F.col("many") - F.col("first"), F.lit(1))))
-    rows = large.join(rest, "path").withColumns({"first": first, "many": many}).withColumn("block", block)
-    # a row behind the first blocks meets these alone
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("block") < F.col("first"), F.col("many")).otherwise(F.col("first")) - 1)))
-    return rows.select("path", (F.least("block", "other") * F.col("many") + F.greatest("block", "other")).alias("part"), "id")
-
-
-def _leaves(reps: DataFrame, leaf: int) -> DataFrame:
-    """(path, part, id) of what is compared: every bucket with two documents or more, split while it is large and levels are left.
-
-    Rows from which the next run samples nothing would leave a split without a bucket: they are compared with their whole bucket first.
-    """
-    lists = reps.select("id", "keys").where(F.size("keys") > 0)
-    rows = lists.select("id", F.posexplode("keys").alias("run", "own")).select("id", "run", F.explode("own").alias("key")).select("id", "run", F.xxhash64("run", "key").alias("path")).distinct()
-    found = None
+
+def _candidates(reps: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
+    """What is compared, as (path, part, sid), and the stars of large buckets, as edges (u, v)."""
+    lists = reps.select("sid", "place", F.posexplode("keys").alias("run", "own"))
+    rows = lists.select("sid", "place", "run", F.explode("own").alias("key")).select("sid", "place", "run", F.xxhash64("run", "key").alias("path")).distinct()
+    found, edges = [], []
     for level in range(1, LEVELS + 1):
         counts = rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
         met = rows.join(counts, "path")
-        done = _blocks((met.where(F.col("n") <= leaf) if level < LEVELS else met).select("path", "n", "id"), "path", leaf).select("path", "part", "id")
-        found = done if found is None else found.unionByName(done)
-        if level == LEVELS:
+        if level > 1:
+            met = cut(met)
+        found.append(met.where(F.col("n") <= leaf).select("path", F.lit(0).cast("long").alias("part"), "sid"))
+        large = met.where(F.col("n") > leaf)
+        stars = cut(_held_against_pivots(cut(large) if level == 1 else large, reps))
+        if stars.isEmpty():
             break
-        large = cut(met.where(F.col("n") > leaf).select("path", "run", "id", "n"))
-        if large.isEmpty():
+        edges.append(stars.where("star != sid").select(F.col("sid").alias("u"), F.col("star").alias("v")))
+        left = stars.groupBy("path").agg(F.count(F.when(F.col("star").isNull(), 1)).alias("left"))
+        stars = stars.join(left, "path").withColumn("rest", F.col("star").isNull())
+        done = F.lit(True) if level == LEVELS else F.col("left") <= leaf
+        found.append(_blocks(stars.where(done).select("path", "sid", "place", "n", "rest"), "path", leaf).select("path", "part", "sid"))
+        if level == LEVELS:
             break
-        next_run = F.get("keys", F.pmod(F.col("run") + level, F.lit(RUNS)))
-        large = large.join(lists, "id").select("path", "run", "id", "n", next_run.alias("keys"))
-        found = found.unionByName(_rest_blocks(large, leaf))
-        rows = large.select("id", "run", "path", F.explode("keys").alias("key")).select("id", "run", F.xxhash64("path", "key").alias("path")).distinct()
-    return found
+        nth = F.explode(F.sequence(F.lit(0), F.lit(SPLIT - 1)))
+        on = stars.where(~done).select("path", "run", "sid", "place").join(reps.select("sid", "splits"), "sid").withColumn("nth", nth)
+        key = F.substring("splits", ((F.col("run") * (LEVELS - 1) + level - 1) * SPLIT + F.col("nth")) * 4 + 1, F.lit(4))
+        rows = on.select("sid", "place", "run", F.xxhash64("path", "nth", key).alias("path")).distinct()
+    leaves = found[0]
+    for more in found[1:]:
+        leaves = leaves.unionByName(more)
+    pairs = by_key(leaves.join(reps.select("sid", "sketch"), "sid").select("path", "part", "sid", "sketch"), "path", "part").mapInArrow(_candidate_edges, "u long, v long")
+    for more in edges:
+        pairs = pairs.unionByName(more)
+    return pairs
+
+
+def _links(members: DataFrame, similarity: float, leaf: int) -> DataFrame:
+    """(sid, links, root) by exact similarity within the groups of members (sid, component, n, copies, place, tokens)."""
+    schema = "sid long, links long, root long"
+    compare = lambda rows: by_key(rows.select("component", "part", "block", "cross", "sid", "copies", "tokens"), "component", "part").mapInArrow(_exact(similarity), schema)
+    few = members.where(F.col("n") <= leaf).withColumn("rest", F.lit(True))
+    out = compare(_blocks(few, "component", leaf))
+    many = cut(members.where(F.col("n") > leaf))
+    if many.isEmpty():
+        return out
+    chosen = many.groupBy("component", F.pmod(F.xxhash64(F.lit("centre"), "place"), F.lit(CENTRE)).alias("nth")).agg(F.min_by("tokens", "place").alias("tokens"))
+    middles = chosen.groupBy("component").agg(F.collect_list("tokens").alias("chosen")).mapInArrow(_middles, "component long, middle binary")
+    costs = cut(many.join(middles, "component").select("component", "sid", "copies", "tokens", "middle").mapInArrow(_costs(similarity), "component long, sid long, copies long, core boolean"))
+    core = costs.where("core")
+    sums = core.groupBy("component").agg(F.sum("copies").alias("all"), F.min("sid").alias("root"))
+    known = core.join(sums, "component").select("sid", (F.col("all") - F.col("copies")).alias("links"), "root")
+    rest = many.join(costs.select("sid", (~F.col("core")).alias("rest")), "sid")
+    return out.unionByName(known).unionByName(compare(_blocks(rest, "component", leaf)))
+
+
+def _classes(docs: DataFrame, similarity: float, leaf: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_hash, digest) of each row of docs, and (digest, sid, set_id, copies, links, class) of each set."""
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    features = cut(hashed.mapInArrow(_features, "doc_id long, text_hash long, digest binary, sketch binary, splits binary, keys array<array<bigint>>"))
+    # the row with the least id stands for a set; its text is found again by id and hash
+    stands = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash")))
+    sets = features.groupBy("digest").agg(stands.alias("stands"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("sketch", "splits", "keys")])
+    sets = cut(sets.select("digest", "stands", "copies", "sketch", "splits", "keys", F.xxhash64("digest").alias("place"), F.monotonically_increasing_id().alias("sid")))
+    reps = sets.where("stands IS NOT NULL AND size(keys) > 0")
+    groups = cut(components(_candidates(reps, leaf)).withColumnRenamed("id", "sid"))
+    sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
+    members = groups.join(sizes, "component").join(reps.select("sid", "copies", "place", "stands.doc_id", "stands.text_hash"), "sid")
+    texts = members.join(hashed, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
+    tokens = texts.select("sid", "component", "n", "copies", "place", "text").mapInArrow(_sets, "sid long, component long, n long, copies long, place long, tokens binary")
+    exact = cut(_links(tokens, similarity, leaf))
+    links = exact.groupBy("sid").agg(F.sum("links").alias("links"))
+    classes = components(exact.select(F.col("sid").alias("u"), F.col("root").alias("v"))).withColumnRenamed("id", "sid")
+    of_set = sets.select("digest", "sid", F.col("stands.doc_id").alias("set_id"), "copies").join(links, "sid", "left").join(classes, "sid", "left")
+    return features.select("doc_id", "text_hash", "digest"), of_set.select("digest", "sid", "set_id", "copies", "links", F.coalesce("component", "sid").alias("class"))
 
 
 def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, leaf: int = LEAF) -> DataFrame:
@@ -248,34 +365,30 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, leaf: int
 
     set_id is the least doc_id with the same shingle set, class_id the least that links of at least `similarity` lead to, and n_links
     the number of other rows that are linked directly, copies included. Null and empty texts have the same, empty set and
-    are linked to each other alone. Rows that repeat an id count as copies if their texts agree and else join the sets of their texts.
+    are linked to each other alone. Rows that repeat an id are rows like any other, whether their texts agree or not.
     A null id never names a set or class: those are null if no other row has the text.
     """
-    features = cut(docs.select("doc_id", "text").mapInArrow(_features, "doc_id long, digest binary, sketch binary, keys array<array<bigint>>"))
-    sets = cut(features.groupBy("digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")))
-    reps = features.join(sets.where("id IS NOT NULL").select("id", "digest", "copies"), "digest").where("doc_id = id").select("id", "copies", "sketch", "keys").dropDuplicates(["id"])
-    reps = cut(reps)
-    edges = by_key(_leaves(reps, leaf).join(reps.select("id", "sketch"), "id").select("path", "part", "id", "sketch"), "path", "part").mapInArrow(_candidate_edges, "u long, v long")
-    groups = cut(components(edges))
-    sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
-    members = groups.join(sizes, "component").join(reps.select("id", "copies"), "id")
-    texts = members.join(docs.select(F.col("doc_id").alias("id"), "text"), "id").dropDuplicates(["id"])
-    tokens = texts.mapInArrow(_sets, "id long, component long, n long, copies long, tokens binary")
-    spread = _blocks(tokens, "component", leaf).select("component", "part", "block", "cross", "id", "copies", "tokens")
-    exact = cut(by_key(spread, "component", "part").mapInArrow(_exact(similarity), "id long, links long, root long"))
-    links = exact.groupBy("id").agg(F.sum("links").alias("links"))
-    classes = components(exact.select(F.col("id").alias("u"), F.col("root").alias("v")))
-    of_set = (
-        sets.join(links, "id", "left").join(classes, "id", "left")
-        .select("digest", F.col("id").alias("set_id"), F.coalesce("component", "id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    )
-    return features.select("doc_id", "digest").join(of_set, "digest").drop("digest")
+    rows, sets = _classes(docs, similarity, leaf)
+    least = sets.groupBy("class").agg(F.min("set_id").alias("class_id"))
+    of_set = sets.join(least, "class").select("digest", "set_id", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return rows.select("doc_id", "digest").join(of_set, "digest").drop("digest")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Of each class of similar documents the row with the least id, with all columns of docs; rows without an id stay."""
-    gone = similar_documents(docs).where("doc_id != class_id").select("doc_id").distinct()
-    return docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    """Of each class of similar documents the row with the least id, with all columns of docs; rows without an id stay.
+
+    Of rows that agree in id and text, one stays. Where an id has several texts, each goes or stays with its own class; where
+    texts of one class share the least id, one of them stays, by the digests of their sets.
+    """
+    rows, sets = _classes(docs, SIMILARITY, LEAF)
+    stays = sets.where("set_id IS NOT NULL").groupBy("class").agg(F.min(F.struct("set_id", "digest")).alias("x"))
+    kept = stays.select(F.col("x.set_id").alias("doc_id"), F.col("x.digest").alias("digest"))
+    # one text of the kept row's id and set
+    kept = rows.join(kept, ["doc_id", "digest"]).groupBy("doc_id", "digest").agg(F.min("text_hash").alias("text_hash"))
+    value = unused(docs, "text_hash")
+    kept = kept.withColumnRenamed("text_hash", value)
+    one = docs.where("doc_id IS NOT NULL").withColumn(value, F.xxhash64("text")).join(kept, ["doc_id", value], "left_semi").dropDuplicates(["doc_id", value])
+    return one.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
