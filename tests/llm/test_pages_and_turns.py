@@ -49,21 +49,47 @@ def test_articles(spark):
     assert {x.page_id: x.text for x in got} == want and all(x.n_chars == len(x.text) for x in got)
 
 
+@needs_tables
+def test_articles_by_the_tree_alone(spark):
+    """Without names and tags the tree finds the article of every page of hosts with enough pages."""
+    pages = table(spark, SF.replace("0.01", "0.1"), "pages")
+    body = F.regexp_extract("html", r"(?s)<article>(.*?)</article>", 1)
+    want = {x.page_id: x.a for x in pages.select("page_id", body.alias("a")).collect()}
+    plain = lambda a: " ".join(entities.unescape(re.sub(r"<[^>]*>", "", re.sub(r"</?(p|h1|br)[^>]*>", " ", a))).split())
+    # the tag says nothing either: an article is a div
+    bare = pages.withColumn("html", F.regexp_replace("html", r"(</?)article>", "$1div>"))
+    for names in (True, False):
+        got = {x.page_id: x.text for x in sitetree.main_text(bare, names=names).collect()}
+        assert sum(got[i] == plain(a) for i, a in want.items()) >= 0.99 * len(want)
+    none = sitetree.main_text(bare, min_pages=10_000, names=False)
+    assert sum(x.text == plain(want[x.page_id]) for x in none.collect()) == 0
+
+
 def test_style_tree(spark, prose):
     """Blocks that the pages of a host repeat go, whatever they are called; what they share by chance stays."""
-    rows = [(i, "http://h.example/%d" % i, f"<div class=q><p>Shared words of the site</p></div><div class=z><p>{prose(i, 20)}</p></div>") for i in range(40)]
+    rows = [(i, "http://h.example/%d" % i, f"<div class=q><p>Shared words of the site</p></div><div class=z><p>{prose(i, 20)}</p><p>Read more</p></div>") for i in range(40)]
     rows += [(100 + i, "http://small.example/", "<div class=q><p>Shared words of the site</p></div>") for i in range(3)]
     rows += [(200, None, "<p>x</p>"), (201, "nonsense", None)]
+    rows += [(300 + i, "http://copies.example/", f"<div class=q><p>{prose(77, 20)}</p></div><div class=z><p>A copy</p></div>") for i in range(30)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    imp = {x.path: x.importance for x in sitetree.importance(df).collect()}
-    assert imp["root/div.q"] < 0.15 < 0.8 < imp["root/div.z"]
+    imp = {(x.host, x.path): x.importance for x in sitetree.importance(sitetree.counted(df)).collect()}
+    assert imp["h.example", "root/div.q"] == 0 and imp["h.example", "root/div.z"] > 0.35
     for ship in (1000, 0):
         got = {x.page_id: x.text for x in sitetree.main_text(df, ship=ship).collect()}
         assert all(got[i] == prose(i, 20) for i in range(40))
         assert got[100] == "Shared words of the site" and got[200] == "x" and got[201] == ""
+        assert got[300] == prose(77, 20) + " A copy"
     assert sitetree.main_text(df.limit(0)).count() == 0
 
 
+def test_free_branches_win(spark, prose):
+    """A section whose shape differs from page to page stays, whatever its name; sections of one shape beside it go, whatever their words."""
+    body = lambda i: "".join(f"<p>{prose(90 * i + k, 12)}</p>" + f"<ul><li>x{i}y{k}</ul>" * (k % 3 == i % 3) for k in range(1 + i % 7))
+    rows = [(i, "http://f.example/", f"<div class=one><a>{prose(5000 + i, 6)}</a></div><div class=widget>{body(i)}</div><div class=comments>{body(i + 3)}</div>") for i in range(40)]
+    got = {x.page_id: x.text for x in sitetree.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == sitetree.extract(body(i)) for i in range(40))
+
+
 def test_importance_outside_articles(spark, prose):
     """What differs from page to page stays beside a teaser article and on pages without article; what the pages share goes."""
     shared = "<div class=q><p>Shared words of the site</p></div>"
@@ -81,13 +107,18 @@ def test_importance_outside_articles(spark, prose):
 
 
 def test_importance_by_definition(spark):
-    rows = [(i, "http://h/", f"<div><p>{'same' if i % 2 else i}</p></div>" + "<hr>" * (i % 4 == 0)) for i in range(32)]
-    got = {x.path: (x.pages, x.importance) for x in sitetree.importance(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    """Against the definition, with texts that stand at several paths of a page."""
+    rows = [(i, "http://h/", f"<div><p>{'same' if i % 2 else i}</p><b>{'same' if i % 4 == 1 else 'b'}</b></div>" + "<hr>" * (i % 4 == 0)) for i in range(32)]
+    got = {x.path: x for x in sitetree.importance(sitetree.counted(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect()}
     log = np.log(32)
-    content = 1 - (np.log(16) / 17) / log
-    assert got["root/div/p"] == (32, pytest.approx(0.1 * 0 + 0.9 * content))
+    assert got["root/div/p"].pages == 32 and got["root/div/p"].presentation == pytest.approx(0)
+    assert got["root/div/p"].content == pytest.approx(1 - (np.log(16) / 17) / log)
+    # 16 numbers, same on 16 pages, b on 24
+    assert got["root/div"].content == pytest.approx(1 - ((np.log(16) + np.log(24)) / 18) / log)
     styles = -(0.25 * np.log(0.25) + 0.75 * np.log(0.75)) / log
-    assert got["root"] == (32, pytest.approx((1 - 0.81) * styles + 0.81 * content))
+    assert got["root"].own == pytest.approx(styles) and got["root"].presentation == pytest.approx(styles)
+    assert got["root"].importance == pytest.approx(sitetree.SHAPE * styles + (1 - sitetree.SHAPE) * got["root"].content)
+    assert got["root"].average == pytest.approx(1 - (16 * np.log(16) + 24 * np.log(24)) / 56 / log)
 
 
 @pytest.mark.parametrize("line, kind", [("User: hi", 1), ("**Assistant:** ok", 2), ("### System: x", 0), ("[Human]: y", 1), ("<|im_start|>tool", 3), ("hello: there", 4), ("Alice: yo", 5), ("http://x", 4), ("plain", 4), ("", 4)])

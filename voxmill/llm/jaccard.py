@@ -279,7 +279,8 @@ def _blocks(rows: DataFrame, key: str, leaf: int) -> DataFrame:
 def _held_against_pivots(large: DataFrame, reps: DataFrame) -> DataFrame:
     """(path, run, sid, place, n, star) of the rows of large buckets (path, run, sid, place, n): star is a pivot that a row is alike to, or null."""
     rows = large.join(reps.select("sid", "sketch"), "sid")
-    at = F.xxhash64(F.lit("pivot"), "path", "place")
+    # the same in every bucket, so that buckets of about the same documents have the same pivots and stars
+    at = F.xxhash64(F.lit("pivot"), "place")
     chosen = rows.groupBy("path", F.pmod(at, F.lit(PIVOTS)).alias("nth")).agg(F.min(F.struct(at.alias("at"), "sid", "sketch")).alias("x"))
     pivots = chosen.groupBy("path").agg(F.sort_array(F.collect_list("x")).alias("x")).select("path", F.transform("x", lambda x: F.struct(x["sid"].alias("sid"), x["sketch"].alias("sketch"))).alias("pivots"))
     return rows.join(pivots, "path").select("path", "run", "sid", "place", "n", "sketch", "pivots").mapInArrow(_stars, "path long, run int, sid long, place long, n long, star long")
@@ -292,12 +293,9 @@ def _candidates(reps: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
     found, edges = [], []
     for level in range(1, LEVELS + 1):
         counts = rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-        met = rows.join(counts, "path")
-        if level > 1:
-            met = cut(met)
+        met = cut(rows.join(counts, "path"))
         found.append(met.where(F.col("n") <= leaf).select("path", F.lit(0).cast("long").alias("part"), "sid"))
-        large = met.where(F.col("n") > leaf)
-        stars = cut(_held_against_pivots(cut(large) if level == 1 else large, reps))
+        stars = cut(_held_against_pivots(met.where(F.col("n") > leaf), reps))
         if stars.isEmpty():
             break
         edges.append(stars.where("star != sid").select(F.col("sid").alias("u"), F.col("star").alias("v")))
@@ -316,7 +314,7 @@ def _candidates(reps: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
         leaves = leaves.unionByName(more)
     pairs = by_key(leaves.join(reps.select("sid", "sketch"), "sid").select("path", "part", "sid", "sketch"), "path", "part").mapInArrow(_candidate_edges, "u long, v long")
     for more in edges:
-        pairs = pairs.unionByName(more)
+        pairs = pairs.unionByName(more.distinct())
     return pairs
 
 
