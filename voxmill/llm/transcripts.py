@@ -5,6 +5,10 @@ the row, question mark, list or code look. Roles are the hidden states. A line t
 turn transitions, other lines stay with their speaker. Probabilities come from counts over labelled rows with Dirichlet priors, whose
 weight makes markers count where no labelled row has any. Viterbi's algorithm recovers the roles; turns are then rendered in one form.
 
+Text that is in that form already (<|im_start|> and <|im_end|>) is certain: a mark names its role, and the lines up to its end belong to it,
+whatever markers they bear. Marks within a turn's text are escaped by a backslash when it is rendered, and restored when
+it is parsed, so that no text can forge a turn and rendered turns parse to themselves.
+
 A conversation may hold any share of all rows: rows are dealt out by ranges of (conv_id, turn), so that a long one lies in several
 partitions. Each partition gives, for its first and last conversation, the best log-probability from every state at its border to every
 state at its end, and the driver joins these few matrices to fix the states at the borders. Within them each partition decodes by
@@ -36,19 +40,28 @@ ALIASES = {
 NO_MARKER, NAMED = len(ROLES), len(ROLES) + 1
 #: Counts that the priors are worth: of any feature value, of a marker that names its role, of a line's staying with its speaker.
 SMOOTH, MARKER, STAY = 0.5, 200.0, 1000.0
+#: Log-probability of what is as good as impossible.
+SURE = -1e9
 RENDERED = "<|im_start|>{role}\n{text}<|im_end|>\n"
 
 _CHATML = re.compile(r"\s*<\|(?:im_start|start_header_id)\|>\s*(\w+)\s*(?:<\|end_header_id\|>)?\s*(.*)", re.S)
+_END = re.compile(r"\s*<\|(?:im_end|eot_id)\|>\s*\Z")
 _SPEAKER = re.compile(r"\s*[\[(<#*>_|-]*\s*([A-Za-z][\w.'-]{0,23}(?: [A-Z0-9][\w.'-]{0,15})?)\s*(?:\([^)]{1,20}\))?\s*[\])>*_|]*\s*[:：][*_]*(?:\s+|$)(.*)", re.S)
 _LIST = re.compile(r"\s*(?:[-*•]|\d+[.)])\s")
 _CODE = re.compile(r"```|^(?: {4}|\t)|[{};]\s*$")
 
 
+def mark(line: str) -> re.Match | None:
+    """The mark that a line starts a turn with: a role, or a name with nothing behind it."""
+    m = _CHATML.match(line)
+    return m if m and (m[1].lower() in ALIASES or not m[2].strip()) else None
+
+
 def marker(line: str) -> tuple[int, str]:
     """The marker that a line begins with (a role's index, NAMED for another speaker's name, NO_MARKER) and the rest of the line."""
-    if m := _CHATML.match(line):
+    if m := mark(line):
         role = ALIASES.get(m[1].lower())
-        return (ROLES.index(role) if role else NAMED), m[2].removesuffix("<|im_end|>")
+        return (ROLES.index(role) if role else NAMED), m[2]
     if ":" in line or "：" in line:
         if m := _SPEAKER.match(line):
             role = ALIASES.get(m[1].lower())
@@ -63,16 +76,43 @@ def marker(line: str) -> tuple[int, str]:
 FEATURES = {"marker": len(ROLES) + 2, "first": 2, "length": 14, "row": 18, "question": 2, "look": 3}
 
 
+#: Column of the features that says what is certain of a line: nothing, that it stays with its speaker, or (BOUND + role) its role.
+CERTAIN, BOUND = len(FEATURES), 2
+
+
+def escape(text: str) -> str:
+    """Text whose marks are none: each <| gets a backslash more."""
+    return re.sub(r"<(\\*)\|", r"<\\\1|", text)
+
+
+def unescape(text: str) -> str:
+    return re.sub(r"<\\(\\*)\|", r"<\1|", text)
+
+
 def observe(text: str | None) -> tuple[list[str], np.ndarray]:
     """Lines of a row without their markers, and the features of each (a row of small numbers); an empty row is one empty line."""
-    lines = (text or "").split("\n")
+    lines = re.sub(r"(<\|(?:im_end|eot_id)\|>)[ \t]*(?=<\|(?:im_start|start_header_id)\|>)", "\\1\n", text or "").split("\n")
     size = min(17, len(text or "").bit_length())
-    rest, out = [], np.empty((len(lines), len(FEATURES)), dtype=np.int64)
+    rest, out = [], np.empty((len(lines), len(FEATURES) + 1), dtype=np.int64)
+    within = ended = False
     for i, line in enumerate(lines):
-        kind, plain = marker(line)
-        rest.append(plain)
+        certain = 0
+        if mark(line):
+            kind, plain = marker(line)
+            certain = BOUND + kind if kind < NO_MARKER else 0
+            within = True
+        elif within:
+            kind, plain, certain = NO_MARKER, line, 1
+        else:
+            kind, plain = marker(line)
+            certain = int(ended and not line.strip())  # nothing follows an ended turn
+        if end := _END.search(plain):
+            plain = plain[: end.start()]
+        rest.append(unescape(plain) if within else plain)
+        ended = bool(end and within) or (ended and not line.strip())
+        within = within and not end
         look = 1 if _LIST.match(plain) else 2 if _CODE.search(plain) else 0
-        out[i] = (kind, i == 0, min(13, len(plain).bit_length()), size if i == 0 else 0, plain.rstrip().endswith("?"), look)
+        out[i] = (kind, i == 0, min(13, len(plain).bit_length()), size if i == 0 else 0, plain.rstrip().endswith("?"), look, certain)
     return rest, out
 
 
@@ -86,13 +126,15 @@ class Model:
     emit: list[np.ndarray]
 
     def scores(self, features: np.ndarray) -> np.ndarray:
-        """(line, role): log-probability of each line's features."""
-        return sum(table[features[:, k]] for k, table in enumerate(self.emit))
+        """(line, role): log-probability of each line's features; a mark's role is as good as certain."""
+        other = (features[:, CERTAIN, None] >= BOUND) & (features[:, CERTAIN, None] != BOUND + np.arange(len(ROLES)))
+        return sum(table[features[:, k]] for k, table in enumerate(self.emit)) + other * SURE
 
     def moves(self, features: np.ndarray) -> np.ndarray:
         """(line, from, to): turn transitions where a row starts or a marker stands, else the others."""
         turns = (features[:, 1] == 1) | (features[:, 0] != NO_MARKER)
-        return np.where(turns[:, None, None], self.turn, self.stay)
+        bound = (features[:, CERTAIN] == 1)[:, None, None]
+        return np.where(bound, (1 - np.eye(len(ROLES))) * SURE, np.where(turns[:, None, None], self.turn, self.stay))
 
 
 def model_of(counts: Counter) -> Model:
@@ -167,7 +209,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             before = now
             if r is not None:
                 _, seen = observe(text)
-                for name, column in zip(FEATURES, seen.T, strict=True):
+                for name, column in zip(FEATURES, seen.T[:CERTAIN], strict=True):
                     values, n = np.unique(column, return_counts=True)
                     for v, c in zip(values.tolist(), n.tolist(), strict=True):
                         counts[name, v, r] += c
@@ -288,7 +330,7 @@ def _decoded(shipped, borders):
                     while j < len(own) and path[a + j] == path[a + i] and seen[a + j, 0] == NO_MARKER:
                         j += 1
                     role = ROLES[path[a + i]]
-                    out.append((conv, turn, nth, role, j - i, RENDERED.format(role=role, text="\n".join(own[i:j]).strip()), held))
+                    out.append((conv, turn, nth, role, j - i, RENDERED.format(role=role, text=escape("\n".join(own[i:j]).strip())), held))
                     nth, i = nth + 1, j
             if len(out) >= 2000:
                 yield pa.RecordBatch.from_pydict({n: pa.array(c, t) for n, c, t in zip(names, zip(*out, strict=True), kinds, strict=True)})
