@@ -293,9 +293,12 @@ def _candidates(reps: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
     found, edges = [], []
     for level in range(1, LEVELS + 1):
         counts = rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-        met = cut(rows.join(counts, "path"))
+        met = rows.join(counts, "path")
+        if level > 1:
+            met = cut(met)
         found.append(met.where(F.col("n") <= leaf).select("path", F.lit(0).cast("long").alias("part"), "sid"))
-        stars = cut(_held_against_pivots(met.where(F.col("n") > leaf), reps))
+        large = met.where(F.col("n") > leaf)
+        stars = cut(_held_against_pivots(cut(large) if level == 1 else large, reps))
         if stars.isEmpty():
             break
         edges.append(stars.where("star != sid").select(F.col("sid").alias("u"), F.col("star").alias("v")))
@@ -314,16 +317,17 @@ def _candidates(reps: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
         leaves = leaves.unionByName(more)
     pairs = by_key(leaves.join(reps.select("sid", "sketch"), "sid").select("path", "part", "sid", "sketch"), "path", "part").mapInArrow(_candidate_edges, "u long, v long")
     for more in edges:
-        pairs = pairs.unionByName(more.distinct())
+        pairs = pairs.unionByName(more)
     return pairs
 
 
 def _links(members: DataFrame, similarity: float, leaf: int) -> DataFrame:
-    """(sid, links, root) by exact similarity within the groups of members (sid, component, n, copies, place, tokens)."""
+    """(sid, links, class) by exact similarity within the groups of members (sid, component, n, copies, place, tokens)."""
     schema = "sid long, links long, root long"
     compare = lambda rows: by_key(rows.select("component", "part", "block", "cross", "sid", "copies", "tokens"), "component", "part").mapInArrow(_exact(similarity), schema)
     few = members.where(F.col("n") <= leaf).withColumn("rest", F.lit(True))
-    out = compare(_blocks(few, "component", leaf))
+    # a group of one block is compared at once, so its roots are its classes
+    out = compare(_blocks(few, "component", leaf)).withColumnRenamed("root", "class")
     many = cut(members.where(F.col("n") > leaf))
     if many.isEmpty():
         return out
@@ -334,7 +338,10 @@ def _links(members: DataFrame, similarity: float, leaf: int) -> DataFrame:
     sums = core.groupBy("component").agg(F.sum("copies").alias("all"), F.min("sid").alias("root"))
     known = core.join(sums, "component").select("sid", (F.col("all") - F.col("copies")).alias("links"), "root")
     rest = many.join(costs.select("sid", (~F.col("core")).alias("rest")), "sid")
-    return out.unionByName(known).unionByName(compare(_blocks(rest, "component", leaf)))
+    found = cut(known.unionByName(compare(_blocks(rest, "component", leaf))))
+    links = found.groupBy("sid").agg(F.sum("links").alias("links"))
+    classes = components(found.select(F.col("sid").alias("u"), F.col("root").alias("v"))).select(F.col("id").alias("sid"), F.col("component").alias("class"))
+    return out.unionByName(links.join(classes, "sid", "left").select("sid", "links", F.coalesce("class", "sid").alias("class")))
 
 
 def _classes(docs: DataFrame, similarity: float, leaf: int) -> tuple[DataFrame, DataFrame]:
@@ -352,10 +359,8 @@ def _classes(docs: DataFrame, similarity: float, leaf: int) -> tuple[DataFrame,
     texts = members.join(hashed, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
     tokens = texts.select("sid", "component", "n", "copies", "place", "text").mapInArrow(_sets, "sid long, component long, n long, copies long, place long, tokens binary")
     exact = cut(_links(tokens, similarity, leaf))
-    links = exact.groupBy("sid").agg(F.sum("links").alias("links"))
-    classes = components(exact.select(F.col("sid").alias("u"), F.col("root").alias("v"))).withColumnRenamed("id", "sid")
-    of_set = sets.select("digest", "sid", F.col("stands.doc_id").alias("set_id"), "copies").join(links, "sid", "left").join(classes, "sid", "left")
-    return features.select("doc_id", "text_hash", "digest"), of_set.select("digest", "sid", "set_id", "copies", "links", F.coalesce("component", "sid").alias("class"))
+    of_set = sets.select("digest", "sid", F.col("stands.doc_id").alias("set_id"), "copies").join(exact, "sid", "left")
+    return features.select("doc_id", "text_hash", "digest"), of_set.select("digest", "sid", "set_id", "copies", "links", F.coalesce("class", "sid").alias("class"))
 
 
 def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, leaf: int = LEAF) -> DataFrame:

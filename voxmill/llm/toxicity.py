@@ -5,7 +5,7 @@ two-level Dirichlet prior: the class shares of a word shrink to those of its fir
 the shares of all tokens. Counts live in hashed tables of a fixed size, so the model that is shipped to the executors has a
 proven bound; a document counts once for each of its buckets, so that repeats in one text don't make a word toxic. A linear scan (Ruzzo and Tompa's) finds every maximal scoring segment of a text; Karlin and Altschul's
 extreme-value statistics turn the scores into probabilities of chance, their sum statistics join the segments of a text, and
-a one-variable logistic curve, fitted with each training text's own counts left out, turns that into a score.
+a one-variable logistic curve over a floor, fitted with each training text's own counts left out, turns that into a score.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxmill.llm import textvec as tv
-from voxmill.llm.common import fold, label_sample, small_batches, spread, table, texts_of
+from voxmill.llm.common import cut, fold, label_sample, small_batches, spread, table, texts_of
 
 BITS = 20
 PREFIX = 5
@@ -90,6 +90,7 @@ class Model:
     k: float = 0.1
     slope: float = 1.0
     offset: float = 0.0
+    floor: float = 0.0
 
     def odds(self, word, stem, toxic=None) -> np.ndarray:
         y1, y0, p1, p0 = self.y1[word], self.y0[word], self.p1[stem], self.p0[stem]
@@ -119,7 +120,7 @@ class Model:
         return float(np.log1p(max(x.max(), 0.0))), len(best)
 
     def score(self, x):
-        return 1 / (1 + np.exp(-np.clip(self.slope * x + self.offset, -50, 50)))
+        return self.floor + (1 - self.floor) / (1 + np.exp(-np.clip(self.slope * x + self.offset, -50, 50)))
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,8 +191,11 @@ def karlin_lambda(values: np.ndarray, p: np.ndarray) -> float:
     return high
 
 
-def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
-    """Weighted one-variable logistic fit (Newton steps) with Platt's softened targets and a small ridge."""
+def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, floor: float = 0.0) -> tuple[float, float]:
+    """Weighted fit of floor + (1 - floor) / (1 + exp(-(a x + b))), by Fisher scoring with Platt's softened targets and a small ridge.
+
+    floor is the share of label 1 where there is no evidence: labels that no word bears out would flatten the curve otherwise.
+    """
     if not n[y == 1].sum() or not n[y == 0].sum():
         return 1.0, 0.0
     pos, neg = n[y == 1].sum(), n[y == 0].sum()
@@ -199,10 +203,12 @@ def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]
     centre, spread = (x * n).sum() / n.sum(), max(1e-9, np.sqrt((n * (x - (x * n).sum() / n.sum()) ** 2).sum() / n.sum()))
     z, w = (x - centre) / spread, np.zeros(2)
     f = np.stack([z, np.ones_like(z)])
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(w @ f, -40, 40)))
-        grad = f @ (n * (target - p)) - 1e-3 * w
-        hess = (f * (n * p * (1 - p))) @ f.T + 1e-3 * np.eye(2)
+    for _ in range(200):
+        s = 1 / (1 + np.exp(-np.clip(w @ f, -40, 40)))
+        p, slope = floor + (1 - floor) * s, (1 - floor) * s * (1 - s)
+        var = np.maximum(p * (1 - p), 1e-12)
+        grad = f @ (n * (target - p) * slope / var) - 1e-3 * w
+        hess = (f * (n * slope**2 / var)) @ f.T + 1e-3 * np.eye(2)
         step = np.linalg.solve(hess, grad)
         w += step / max(1.0, np.abs(step).max())
         if np.abs(step).max() < 1e-8:
@@ -238,7 +244,9 @@ def fit(train: DataFrame) -> Model:
     second = sorted((b, c, n) for (kind, b, c), n in _histogram(train, model).items() if kind == "x")
     if second:
         x, y, n = (np.array(v, dtype=float) for v in zip(*second, strict=True))
-        model.slope, model.offset = logistic(x * FINE, y, n)
+        bare = x <= round(NONE / FINE)
+        model.floor = float(n[bare & (y == 1)].sum() / (n[bare].sum() + 1))
+        model.slope, model.offset = logistic(x * FINE, y, n, model.floor)
     return model
 
 
@@ -274,9 +282,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def train_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, label) of at most TRAIN_ROWS labelled documents outside the held-out fold."""
+    """(text, label) of at most TRAIN_ROWS labelled documents outside the held-out fold, written down for the passes of a fit."""
     chosen = label_sample(labels, "toxic", fold("doc_id", 3) != 1, TRAIN_ROWS)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
+    return cut(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, at_least: float = 0.7) -> DataFrame:
