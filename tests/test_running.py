@@ -10,10 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxmill import schemas
-from voxmill.config import PipelineConfig
+from voxmill.config import Ensemble, Evaluation, PipelineConfig, QualityGate
 from voxmill.functions import audio, dsp
 from voxmill.plans import hooks, runner
-from voxmill.session import cut
+from voxmill.plans.stages import Context
+from voxmill.session import cut, shared_dir
 from voxmill.sources import files, sinks
 from voxmill.streaming import incremental
 
@@ -78,21 +79,100 @@ def landed(spark):
 
 
 def test_runner(spark, tmp_path):
-    folder, cfg = str(tmp_path), PipelineConfig()
+    ctx = Context(str(tmp_path), PipelineConfig())
     assert runner.stage_range("04", "05") == ["04", "04b", "05"]
     with pytest.raises(ValueError):
         runner.stage_range("99")
     with pytest.raises(FileNotFoundError):
-        runner.run_stage(spark, folder, "04", cfg)
-    sinks.write_table(landed(spark), f"{folder}/landed")
-    assert runner.run_missing(spark, folder, cfg) == ["04", "07"]  # 04b is off, 05 has no results yet
-    assert runner.run_missing(spark, folder, cfg) == []
-    assert spark.read.parquet(f"{folder}/04").count() == 12
-    results = landed(spark).select("segment_id", "video_id", "duration_ms", (F.col("duration_ms") / 1000).alias("duration"), F.lit(True).alias("has_result"), F.lit(None).cast("string").alias("error"), F.lit("你好").alias("text"), F.lit(0.9).alias("confidence"))
-    sinks.write_table(results, f"{folder}/results")
-    assert runner.run_missing(spark, folder, cfg) == ["05", "06"]
-    assert spark.read.parquet(f"{folder}/06").count() == 6
-    assert runner.run_range(spark, folder, cfg, "04b", "06") == ["05", "06"]
+        runner.run_stage(spark, ctx, "04")
+    sinks.write_table(landed(spark), f"{ctx.folder}/landed")
+    assert runner.run_missing(spark, ctx) == ["04", "07"]  # 04b is off, 05 has no results yet
+    assert runner.run_missing(spark, ctx) == []
+    seg = spark.read.parquet(f"{ctx.folder}/04")
+    assert seg.count() == 12 and seg.select("segment_id").distinct().count() == 12
+    results = seg.select("segment_id", F.lit(True).alias("has_result"), F.lit(None).cast("string").alias("error"), F.lit("你好").alias("text"), F.when(F.col("start_ms") < 30_000, 0.9).otherwise(0.1).alias("confidence"))
+    sinks.write_table(results, f"{ctx.folder}/results")
+    assert runner.run_missing(spark, ctx) == ["05", "06"]
+    out = spark.read.parquet(f"{ctx.folder}/05")
+    # six TARGET segments, of which two start in the first 30 s
+    assert {(r.valid, r.asr_path.split("/")[1]) for r in out.collect()} == {(True, "passed"), (False, "low_confidence")}
+    assert spark.read.parquet(f"{ctx.folder}/06").count() == 2
+    assert runner.run_range(spark, ctx, "04b", "06") == ["05", "06"]
+
+
+def test_all_stages(spark, tmp_path):
+    """From videos to judgements over stand-ins for the models, with the ensemble and the gate switched on."""
+    rate, folder = 16_000, str(tmp_path / "run")
+    (tmp_path / "videos").mkdir()
+    rng = np.random.default_rng(0)
+    talk = np.concatenate([np.sin(np.arange(12 * rate) * 0.06) * (0.4 + 0.3 * np.sin(np.arange(12 * rate) / 900)), np.zeros(rate), 0.8 * np.sin(np.arange(5 * rate) * 0.11)]) + rng.normal(0, 1e-4, 18 * rate)
+    for name in ("a", "b"):
+        (tmp_path / "videos" / f"{name}.mp4").write_bytes(audio.encode_wav(talk, rate))
+    (tmp_path / "videos" / "broken.mp4").write_bytes(b"no sound")
+
+    def diarizer():
+        return lambda x, sr: ([("S0", 0.0, 12.0), ("S1", 13.0, 18.0), ("S1", 11.5, 11.7)], {"S0": np.array([1.0, 0.1]), "S1": np.array([0.1, 1.0])})
+
+    models = {
+        "separator_a": lambda: lambda x, sr: {"vocals": 0.9 * x, "no_vocals": 0.1 * x}, "separator_b": lambda: lambda x, sr: {"vocals": 0.8 * x, "no_vocals": 0.2 * x},
+        "diarizer": diarizer, "detector": lambda: lambda x, sr: [(0.5, 5.0), (6.0, 11.0)], "transcriber": lambda: lambda x, sr: {"text": f"长度 {len(x)}", "confidence": 0.95}, "evaluator": lambda: lambda x, sr, prompt: prompt,
+    }
+    cfg = PipelineConfig(quality=QualityGate(enabled=True, snr_db=0.0, sfm=1.1, hnr_db=-1.0, min_speech_ratio=0.0))
+    ctx = Context(folder, cfg, models, ("cp", "{source}", "{target}"))
+    sinks.write_table(files.videos(spark, str(tmp_path / "videos")).drop("bytes"), f"{folder}/videos")
+    assert runner.run_missing(spark, ctx) == ["02", "03", "04", "04b", "05", "06", "07", "08"]
+    read = lambda i: spark.read.parquet(f"{folder}/{i}")
+    assert {(r.video_id, r.kind, r.status) for r in read("03").collect()} == {("a", "ensemble", "success"), ("b", "ensemble", "success")}
+    seg = {(r.video_id, r.start_ms, r.end_ms): r for r in read("04").collect()}
+    # S0's 12 s are cut at the pause; it speaks most, so it is TARGET
+    assert {k[1:]: r.speaker for k, r in seg.items() if k[0] == "a"} == {(500, 5000): "TARGET", (6000, 11000): "TARGET", (13000, 18000): "OTHER_00"}
+    assert all(r.segment_id.startswith(f"a_{r.speaker}_") for k, r in seg.items() if k[0] == "a") and not any(r.is_overlap for r in seg.values())
+    assert {r.filter_reason for r in read("04b").where("speaker = 'TARGET'").collect()} == {"keep"}
+    assert {r.text for r in read("06").collect()} == {f"长度 {n * rate // 10}" for n in (45, 50)}
+    assert read("08").count() == 4 and read("08").first().evaluation.startswith("Judge")
+    assert runner.run_missing(spark, ctx) == []
+    # switched off, a stage is left out and its successor reads what is before it
+    off = Context(folder, PipelineConfig(ensemble=Ensemble(enabled=False), evaluation=Evaluation(enabled=False)), models, ctx.command)
+    assert runner.run_range(spark, off, "03", "08") == ["03", "04", "05", "06", "07"]
+    assert {r.kind for r in read("03").collect()} == {"separator_a"}
+    silent = Context(folder, cfg, {**models, "transcriber": lambda: lambda x, sr: 1 / 0}, ctx.command)
+    with pytest.raises(ValueError, match="none of"):
+        runner.run_stage(spark, silent, "05")
+    assert read("05").count() == 4  # the table before is whole
+
+
+def test_a_failed_overwrite_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_table(spark.range(5), path)
+    with pytest.raises(Exception, match="broken"):
+        sinks.write_table(spark.range(9).select(F.when(F.col("id") == 7, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 5 and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["t"]
+    sinks.write_table(spark.read.parquet(path).where("id < 3"), path)  # a table may be made from itself
+    assert spark.read.parquet(path).count() == 3
+    (tmp_path / "t").rename(tmp_path / "t.old")  # as if lost between two renames
+    sinks.write_table(spark.range(1), path)
+    assert spark.read.parquet(path).count() == 1 and not (tmp_path / "t.old").exists()
+
+
+def test_shared_folder(spark):
+    class Cluster:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"master": "spark://x", "getConf": staticmethod(dict), "getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(ValueError, match="share"):
+        shared_dir(Cluster)
+
+
+def test_stems_by_name_and_place(spark):
+    rows = [("a", "/x/a_(Vocals).wav"), ("a", "/x/a_(Instrumental).wav"), ("b", "/x/1.wav"), ("b", "/x/2.wav"), ("c", "/x/vocals.wav"), ("d", "/x/d.wav")]
+    got = {r.path: r.kind for r in files.name_stems(spark.createDataFrame(rows, "video_id string, path string")).collect()}
+    assert got == {rows[0][1]: "vocals", rows[1][1]: "no_vocals", "/x/1.wav": "no_vocals", "/x/2.wav": "vocals", "/x/vocals.wav": "vocals", "/x/d.wav": None}
+
+
+def test_slices_by_bytes():
+    pdf = pd.DataFrame({"i": range(5), "x": [np.zeros(n) for n in (10, 10, 100, 1, 1)]})
+    assert [p["i"].tolist() for p in hooks.by_bytes(pdf, 200)] == [[0, 1], [2], [3, 4]]
+    assert [len(p) for p in hooks.by_bytes(pdf.iloc[:0])] == [0]
 
 
 def test_streams(spark, tmp_path):

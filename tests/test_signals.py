@@ -36,11 +36,17 @@ def test_harmonicity():
 
 
 def test_loudness_and_peaks():
-    assert 20 * np.log10(np.sqrt((dsp.loudness_normalise(NOISE) ** 2).mean())) == pytest.approx(-26)
+    assert dsp.loudness(dsp.loudness_normalise(NOISE)) == pytest.approx(-26)
+    short = NOISE[:1000]  # below one block the level of the root mean square counts
+    assert 20 * np.log10(np.sqrt((dsp.loudness_normalise(short) ** 2).mean())) == pytest.approx(-26)
+    # the standard's own calibration: a full-scale tone of 997 Hz in one channel is at -3.01
+    for sr in (16_000, 48_000):
+        assert dsp.loudness_lufs(np.sin(2 * np.pi * 997 * np.arange(5 * sr) / sr), sr) == pytest.approx(-3.01, abs=0.05)
+    assert dsp.loudness_lufs(np.zeros(16_000)) is None and dsp.dc_offset(np.full(9, 0.25)) == 0.25
     assert dsp.loudness_normalise(np.zeros(5)).tolist() == [0] * 5
     assert np.abs(dsp.peak_normalise(NOISE)).max() == pytest.approx(1)
     assert dsp.clipping_ratio(np.array([1.0, 0.5])) == 0.5
-    assert len(dsp.trim_silence(np.concatenate([np.zeros(2048), np.ones(512), np.zeros(2048)]))) == 512
+    assert len(dsp.trim_silence(np.concatenate([np.zeros(2048), np.ones(512), np.zeros(2048)]))) == 768
 
 
 def test_masks():

@@ -6,6 +6,8 @@ import io
 import wave
 
 import numpy as np
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 
 def decode_wav(content: bytes) -> tuple[np.ndarray, int]:
@@ -34,3 +36,10 @@ def encode_wav(samples: np.ndarray, rate: int) -> bytes:
         w.setframerate(rate)
         w.writeframes(np.round(x * 32767).astype("<i2").tobytes())
     return out.getvalue()
+
+
+def slice_wave(samples: Column, sr: Column, start_ms: Column, end_ms: Column) -> Column:
+    """The samples from start_ms to before end_ms, bounds cut to the signal; null without samples."""
+    first = F.floor(F.greatest(start_ms, F.lit(0)) * sr / 1000).cast("int")
+    last = F.least(F.floor(end_ms * sr / 1000).cast("int"), F.size(samples))
+    return F.when(samples.isNotNull(), F.slice(samples, first + 1, F.greatest(last - first, F.lit(0))))

@@ -95,21 +95,66 @@ def peak_normalise(x: np.ndarray) -> np.ndarray:
     return x / peak if peak > 1e-8 else x
 
 
-def loudness_normalise(x: np.ndarray, target_db: float = -26.0) -> np.ndarray:
-    """Scaled to a root mean square of target_db below full scale; silence stays."""
-    rms = math.sqrt(float((np.asarray(x, dtype=np.float64) ** 2).mean())) if len(x) else 0.0
-    return x * (10 ** (target_db / 20) / rms) if rms > 1e-10 else x
+def _k_weight(f: np.ndarray, sr: int) -> np.ndarray:
+    """Frequency response of the K weighting of ITU-R BS.1770 (a high shelf and a high pass, as bilinear biquads)."""
+    z = np.exp(-2j * np.pi * f / sr)
+    # fixed values: centre frequency, quality and gain of the two filters
+    k, q, gain = math.tan(math.pi * 1681.9744509555319 / sr), 0.7071752369554193, 10 ** (3.99984385397 / 20)
+    root = gain**0.499666774155
+    shelf = (gain + root * k / q + k * k + 2 * (k * k - gain) * z + (gain - root * k / q + k * k) * z * z) / (1 + k / q + k * k + 2 * (k * k - 1) * z + (1 - k / q + k * k) * z * z)
+    k, q = math.tan(math.pi * 38.13547087602444 / sr), 0.5003270373238773
+    passing = (1 - 2 * z + z * z) / (1 + 2 * (k * k - 1) / (1 + k / q + k * k) * z + (1 - k / q + k * k) / (1 + k / q + k * k) * z * z)
+    return shelf * passing
+
+
+def loudness_lufs(x: np.ndarray, sr: int = RATE) -> float | None:
+    """Integrated loudness of a mono signal by ITU-R BS.1770-4: gated blocks of 400 ms; None below one block or where all blocks are gated."""
+    block, hop = sr * 4 // 10, sr // 10
+    if len(x) < block:
+        return None
+    n = len(x) + sr  # the filter's end dies away in less than a second
+    weighted = np.fft.irfft(np.fft.rfft(np.asarray(x, dtype=np.float64), n) * _k_weight(np.fft.rfftfreq(n, 1 / sr), sr), n)[: len(x)]
+    power = (frames(weighted, block, hop) ** 2).mean(axis=1)
+    power = power[-0.691 + 10 * np.log10(np.maximum(power, FLOOR)) > -70]
+    if not len(power):
+        return None
+    power = power[10 * np.log10(power) > 10 * math.log10(power.mean()) - 10]
+    return -0.691 + 10 * math.log10(power.mean())
+
+
+def rms_db(x: np.ndarray) -> float:
+    """Root mean square in decibels below full scale."""
+    return 20 * math.log10(max(math.sqrt(float((np.asarray(x, dtype=np.float64) ** 2).mean())) if len(x) else 0.0, FLOOR))
+
+
+def loudness(x: np.ndarray, sr: int = RATE) -> float:
+    """Integrated loudness, or the level of the root mean square where there is none."""
+    found = loudness_lufs(x, sr)
+    return rms_db(x) if found is None else found
+
+
+def loudness_normalise(x: np.ndarray, target_db: float = -26.0, sr: int = RATE) -> np.ndarray:
+    """Scaled to a loudness of target_db; silence stays."""
+    return x * 10 ** ((target_db - loudness(x, sr)) / 20) if rms_db(x) > -200 else x
+
+
+def dc_offset(x: np.ndarray) -> float:
+    """The constant part of a signal."""
+    return float(np.asarray(x, dtype=np.float64).mean()) if len(x) else 0.0
 
 
 def clipping_ratio(x: np.ndarray, limit: float = 0.99) -> float:
     return float((np.abs(x) > limit).mean()) if len(x) else 0.0
 
 
-def trim_silence(x: np.ndarray, below_db: float = -40.0, frame: int = 512) -> np.ndarray:
-    """Without the quiet frames at either end; a signal that is quiet throughout becomes empty."""
-    level = 10 ** (below_db / 20) * float(np.abs(x).max(initial=0.0))
-    loud = [a for a in range(0, len(x), frame) if math.sqrt(float((x[a : a + frame] ** 2).mean())) > level]
-    return x[loud[0] : loud[-1] + frame] if loud else x[:0]
+def trim_silence(x: np.ndarray, below_db: float = -40.0, frame: int = 512, hop: int = 256) -> np.ndarray:
+    """Without the quiet hops at either end, by frames centred on each hop; a signal that is quiet throughout becomes empty."""
+    if not len(x):
+        return x
+    padded = np.pad(np.asarray(x, dtype=np.float64), frame // 2)
+    level = np.sqrt((frames(padded, frame, hop) ** 2).mean(axis=1))
+    loud = np.flatnonzero((level > level.max() * 10 ** (below_db / 20)) & (level > FLOOR))
+    return x[loud[0] * hop : min(len(x), (loud[-1] + 1) * hop)] if len(loud) else x[:0]
 
 
 def resample_poly(x: np.ndarray, rate: int, target: int, half: int = 10, beta: float = 5.0) -> np.ndarray:

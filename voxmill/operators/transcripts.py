@@ -34,6 +34,12 @@ def validity(df: DataFrame, asr: Asr = Asr()) -> DataFrame:
     return df.withColumn("reason", reason).withColumn("valid", F.col("reason") == "ok")
 
 
+def asr_path(passed: str = "asr/passed", low: str = "asr/low_confidence") -> Column:
+    """Where the sound of a judged segment (segment_id, valid, reason) belongs: valid ones, and those refused for their confidence alone; else null."""
+    name = F.concat(F.lit("/"), F.col("segment_id").cast("string"), F.lit(".wav"))
+    return F.when(F.col("valid"), F.concat(F.lit(passed), name)).when(F.col("reason").startswith("low_confidence"), F.concat(F.lit(low), name))
+
+
 def reason_class(reason: Column) -> Column:
     """The first of REASONS that a reason text begins with, else other."""
     out = F.lit("other")

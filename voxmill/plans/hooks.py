@@ -53,6 +53,22 @@ def singleton(key: str, factory: Callable):
     return _loaded[key]
 
 
+#: Bytes of input values that a hook has as Python objects, and whose results it holds, at a time.
+HOOK_BYTES = 16 << 20
+
+
+def by_bytes(pdf: pd.DataFrame, limit: int = HOOK_BYTES) -> Iterator[pd.DataFrame]:
+    """The rows in slices of at most limit bytes of arrays; larger rows stand alone."""
+    size = sum((pdf[c].map(lambda v: getattr(v, "nbytes", 0)) for c in pdf.columns), start=pd.Series(0, index=pdf.index)).tolist()
+    start = total = 0
+    for i, n in enumerate(size):
+        if i > start and total + n > limit:
+            yield pdf.iloc[start:i]
+            start, total = i, 0
+        total += n
+    yield pdf.iloc[start:]
+
+
 def apply_hook(df: DataFrame, factory: Callable, call: Callable, schema: str, keep: tuple[str, ...]) -> DataFrame:
     """keep columns of df, the columns of schema (fields of its structs are parted by semicolons) that call(model, row) returns as a dict, and status and error.
 
@@ -66,7 +82,7 @@ def apply_hook(df: DataFrame, factory: Callable, call: Callable, schema: str, ke
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = singleton(key, factory)
-        for pdf in batches:
+        for pdf in (part for batch in batches for part in by_bytes(batch)):
             rows = []
             for row in pdf.to_dict("records"):
                 try:

@@ -1,67 +1,24 @@
-"""Stage registry and runs over a folder of stage tables: all, a range, or what is missing.
+"""Runs of the stages over a folder of stage tables: all, a range, or what is missing.
 
-A stage is a function (spark, inputs, config) -> DataFrame whose result is written to <folder>/<id>. Stages run in the order of their
-dependencies; the automatic run starts a stage when its own table is missing or one of its inputs was just made.
+A stage's result is written to <folder>/<id>. Stages run in the order of their ids, which is that of their dependencies; the automatic run
+starts a stage when its own table is missing or one of its inputs was just made.
 """
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import logging
-from collections.abc import Callable
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
-from voxmill.config import PipelineConfig, load_config
-from voxmill.operators import dataset, intervals, quality, report, transcripts
+from voxmill.config import load_config
+from voxmill.plans.stages import STAGES, Context, Stage
 from voxmill.sources.sinks import write_table
 
 log = logging.getLogger("voxmill")
 
 
-@dataclass(frozen=True)
-class Stage:
-    title: str
-    inputs: tuple[str, ...]
-    run: Callable[[SparkSession, dict[str, DataFrame], PipelineConfig], DataFrame]
-    enabled: Callable[[PipelineConfig], bool] = lambda cfg: True
-
-
-def _resegment(spark, inputs, cfg):
-    d = cfg.diarization
-    seg = intervals.overlap_flags(inputs["landed"].where(F.col("duration_ms") >= d.min_segment_ms), d.overlap_ms)
-    return intervals.assign_ids(intervals.split_long(seg, d.max_segment_ms, d.min_child_ms))
-
-
-def _gate(spark, inputs, cfg):
-    return quality.quality_gate(inputs["04"].where("speaker = 'TARGET'"), cfg.quality)
-
-
-def _transcribe(spark, inputs, cfg):
-    return transcripts.validity(inputs["results"], cfg.asr)
-
-
-def _dataset(spark, inputs, cfg):
-    return dataset.project(inputs["05"].where("valid").withColumn("asr", F.struct("text", "duration")), cfg.dataset)
-
-
-def _report(spark, inputs, cfg):
-    return report.duration_stats(inputs["04"], "speaker")
-
-
-#: Tables that aren't made here: landed segments, and transcription results of a model hook.
-EXTERNAL = ("landed", "results")
-STAGES: dict[str, Stage] = {
-    "04": Stage("overlap flags, splitting, ids", ("landed",), _resegment),
-    "04b": Stage("audio quality gate", ("04",), _gate, lambda cfg: cfg.quality.enabled),
-    "05": Stage("transcript validity", ("results",), _transcribe),
-    "06": Stage("dataset records", ("05",), _dataset),
-    "07": Stage("duration report", ("04",), _report),
-}
-
-
 def stage_range(first: str | None = None, last: str | None = None, stages: dict[str, Stage] = STAGES) -> list[str]:
     """Ids from first to last, both included, in the order of the ids as text."""
     ids = sorted(stages)
@@ -77,35 +34,41 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def run_stage(spark: SparkSession, folder: str, stage_id: str, cfg: PipelineConfig, stages: dict[str, Stage] = STAGES) -> bool:
+def run_stage(spark: SparkSession, ctx: Context, stage_id: str, stages: dict[str, Stage] = STAGES) -> bool:
     """Run a stage and write its table; False if the configuration leaves it out. Fails early on missing inputs."""
     stage = stages[stage_id]
-    if not stage.enabled(cfg):
+    if not stage.enabled(ctx):
         log.info("stage %s is switched off", stage_id)
         return False
-    if missing := [i for i in stage.inputs if not exists(spark, f"{folder}/{i}")]:
+    names = stage.inputs(ctx)
+    if missing := [i for i in names if not exists(spark, f"{ctx.folder}/{i}")]:
         raise FileNotFoundError(f"stage {stage_id} needs {', '.join(missing)}")
-    inputs = {i: spark.read.parquet(f"{folder}/{i}") for i in stage.inputs}
-    write_table(stage.run(spark, inputs, cfg), f"{folder}/{stage_id}")
+    inputs = {i: spark.read.parquet(f"{ctx.folder}/{i}") for i in names}
+    write_table(stage.run(spark, inputs, ctx), f"{ctx.folder}/{stage_id}")
     log.info("stage %s (%s) is done", stage_id, stage.title)
     return True
 
 
-def run_range(spark: SparkSession, folder: str, cfg: PipelineConfig, first: str | None = None, last: str | None = None) -> list[str]:
-    return [i for i in stage_range(first, last) if run_stage(spark, folder, i, cfg)]
+def run_range(spark: SparkSession, ctx: Context, first: str | None = None, last: str | None = None) -> list[str]:
+    return [i for i in stage_range(first, last) if run_stage(spark, ctx, i)]
 
 
-def run_missing(spark: SparkSession, folder: str, cfg: PipelineConfig) -> list[str]:
-    """Run, in order, the stages without a table and those that depend on one that ran; stages whose external inputs are absent wait."""
+def run_missing(spark: SparkSession, ctx: Context) -> list[str]:
+    """Run, in order, the stages without a table and those that depend on one that ran; stages whose inputs are absent wait."""
     ran: list[str] = []
     for i in stage_range():
-        stale = not exists(spark, f"{folder}/{i}") or any(x in ran for x in STAGES[i].inputs)
-        ready = all(exists(spark, f"{folder}/{x}") for x in STAGES[i].inputs)
-        if stale and ready and run_stage(spark, folder, i, cfg):
+        names = STAGES[i].inputs(ctx)
+        stale = not exists(spark, f"{ctx.folder}/{i}") or any(x in ran for x in names)
+        if stale and all(exists(spark, f"{ctx.folder}/{x}") for x in names) and run_stage(spark, ctx, i):
             ran.append(i)
     return ran
 
 
+def load_models(name: str | None) -> dict:
+    """The hook factories that a module holds in MODELS; none without a module."""
+    return dict(importlib.import_module(name).MODELS) if name else {}
+
+
 def main(argv: list[str] | None = None) -> list[str]:
     p = argparse.ArgumentParser(description="Run stages over a folder of stage tables.")
     p.add_argument("folder")
@@ -114,11 +77,12 @@ def main(argv: list[str] | None = None) -> list[str]:
     p.add_argument("--from", dest="first")
     p.add_argument("--to", dest="last")
     p.add_argument("--config")
+    p.add_argument("--models", help="module whose MODELS has hook factories by name")
     a = p.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName("voxmill").getOrCreate()
-    cfg = load_config(a.config)
-    return run_missing(spark, a.folder, cfg) if a.auto and not a.first else run_range(spark, a.folder, cfg, a.first, a.last)
+    ctx = Context(a.folder, load_config(a.config), load_models(a.models))
+    return run_missing(spark, ctx) if a.auto and not a.first else run_range(spark, ctx, a.first, a.last)
 
 
 if __name__ == "__main__":

@@ -72,14 +72,17 @@ def q_signal(s, d):
 
 
 def q_loudness(s, d):
-    """Gain that brings each waveform to -26 dB below full scale, and its clipping ratio and constant part."""
-    e = F.col("embedding")
-    n = F.size(e)
-    rms = F.sqrt(embeddings.dot(e, e) / n)
-    return t.embeddings(s, d).select(
-        "vec_id", F.round(F.pow(F.lit(10.0), F.lit(-26 / 20)) / rms, 6).alias("gain"), F.round(F.size(F.filter(e, lambda x: F.abs(x) > 0.2)) / n, 6).alias("clipping"),
-        F.round(F.aggregate(e, F.lit(0.0), lambda a, x: a + x) / n, 6).alias("dc"), F.round(F.array_max(F.transform(e, F.abs)), 6).alias("peak"),
-    )
+    """Gain that brings each waveform to -26 dB below full scale, and its clipping ratio, constant part and peak."""
+
+    @F.pandas_udf("gain double, clipping double, dc double, peak double")
+    def run(samples: pd.Series) -> pd.DataFrame:
+        rows = []
+        for x in map(np.asarray, samples):
+            top = int(np.abs(x).argmax())
+            rows.append((dsp.loudness_normalise(x)[top] / x[top], dsp.clipping_ratio(x, 0.2), dsp.dc_offset(x), abs(x[top])))
+        return pd.DataFrame(rows, columns=["gain", "clipping", "dc", "peak"])
+
+    return t.embeddings(s, d).select("vec_id", run("embedding").alias("m")).select("vec_id", *[F.round(f"m.{c}", 6).alias(c) for c in ("gain", "clipping", "dc", "peak")])
 
 
 def q_validity(s, d):

@@ -7,12 +7,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxmill import schemas
 from voxmill.functions.audio import decode_wav
 from voxmill.functions.dsp import peak_normalise, resample_poly
-from voxmill.functions.text import decode_key, stem
+from voxmill.functions.text import decode_key, stem, stem_kind
 
 #: File types.
 VIDEO = "*.{mp4,mov,mkv,webm}"
@@ -52,10 +53,10 @@ def with_both_stems(stems: DataFrame) -> DataFrame:
 def _waveforms(target_sr: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+            for i, path in enumerate(batch.column("path").to_pylist()):
                 sr, samples, error = None, None, None
                 try:
-                    samples, sr = decode_wav(content)
+                    samples, sr = decode_wav(batch.column("content")[i].as_py())
                     if target_sr and sr != target_sr:
                         samples, sr = resample_poly(samples, sr, target_sr), target_sr
                     samples = peak_normalise(samples).astype(np.float32)
@@ -101,6 +102,20 @@ def not_yet(df: DataFrame, done: DataFrame, key: str, at_most: int | None = None
     return rest if at_most is None else rest.orderBy(key).limit(at_most)
 
 
+def name_stems(stems: DataFrame) -> DataFrame:
+    """stems (video_id, path) with kind, by their names; where a recording's names don't tell both kinds, its first two paths are rest and vocals.
+
+    A recording has a handful of stems. With fewer than two of them, kind is null unless the name tells it.
+    """
+    kinds = stems.withColumn("kind", stem_kind(F.col("path")))
+    own = W.partitionBy("video_id")
+    told = (F.max(F.col("kind") == "vocals").over(own) & F.max(F.col("kind") == "no_vocals").over(own)).alias("told")
+    nth = F.row_number().over(own.orderBy("path"))
+    placed = kinds.withColumns({"_told": F.coalesce(told, F.lit(False)), "_nth": nth, "_all": F.count("*").over(own)})
+    by_place = F.when(F.col("_nth") == 1, "no_vocals").when(F.col("_nth") == 2, "vocals")
+    return placed.withColumn("kind", F.when(F.col("_told") | (F.col("_all") < 2), F.col("kind")).otherwise(by_place)).drop("_told", "_nth", "_all")
+
+
 def align_stems(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Full outer join of two models' outputs (key, path): which of them there is."""
     j = a.select(key, F.col("path").alias("path_a")).join(b.select(key, F.col("path").alias("path_b")), key, "full_outer")

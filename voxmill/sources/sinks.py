@@ -15,9 +15,27 @@ from voxmill.functions.audio import encode_wav
 
 
 def write_table(df: DataFrame, path: str, *partitions: str) -> None:
-    """Overwrite a Parquet table; the old one stays readable until the new one is whole."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+    """Replace a Parquet table: it is written whole beside the old one, which stays until then, and takes its place by renaming.
+
+    If a run is lost between the two renames, the old table lies at <path>.old and is put back by the next call.
+    """
+    sc = df.sparkSession.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs.Path
+    target, old, new = (hadoop(x) for x in (path.rstrip("/"), f"{path.rstrip('/')}.old", f"{path.rstrip('/')}.{uuid.uuid4().hex}.new"))
+    store = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    if store.exists(old) and not store.exists(target):
+        store.rename(old, target)
+    try:
+        (df.write.partitionBy(*partitions) if partitions else df.write).parquet(new.toString())
+    except Exception:
+        store.delete(new, True)
+        raise
+    store.delete(old, True)
+    if store.exists(target) and not store.rename(target, old):
+        raise OSError(f"{path} can't be moved")
+    if not store.rename(new, target):
+        raise OSError(f"{new} can't be moved to {path}")
+    store.delete(old, True)
 
 
 def write_split(classified: DataFrame, path: str, column: str = "decision") -> None:
@@ -57,12 +75,15 @@ def write_wavs(waves: DataFrame, folder: str) -> DataFrame:
         target.create_dir(root, recursive=True)
         for batch in batches:
             rows = []
-            for ident, sr, samples in zip(*(batch.column(c).to_pylist() for c in ("segment_id", "sr", "samples")), strict=True):
+            for i, (ident, sr) in enumerate(zip(batch.column("segment_id").to_pylist(), batch.column("sr").to_pylist(), strict=True)):
                 path = f"{root}/{ident}.wav"
                 try:
+                    samples = batch.column("samples")[i].values  # one waveform at a time
+                    if samples is None:
+                        raise ValueError("no samples")
                     part = f"{path}.{uuid.uuid4().hex}.part"
                     with target.open_output_stream(part) as out:
-                        out.write(encode_wav(np.asarray(samples, dtype=np.float64), sr))
+                        out.write(encode_wav(samples.to_numpy(zero_copy_only=False).astype(np.float64), sr))
                     target.move(part, path)
                     rows.append((ident, path, "success", None))
                 except Exception as e:  # one bad record doesn't end the run

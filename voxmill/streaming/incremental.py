@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from voxmill.sources.sinks import write_table
+
 
 def read_new(spark: SparkSession, folder: str, schema: StructType, max_files: int | None = None) -> DataFrame:
     """A stream of the Parquet files that appear in folder."""
@@ -30,11 +32,11 @@ def totals(stream: DataFrame) -> DataFrame:
 def update_totals(stream: DataFrame, target: str, checkpoint: str) -> None:
     """Keep the totals of all files so far in a Parquet table that each batch writes anew.
 
-    State is one row for each recording and speaker; a batch that runs twice writes the same table.
+    State is one row for each recording and speaker; a batch that runs twice writes the same table, and a lost one leaves the old table.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
+        write_table(batch, target)
 
     totals(stream).writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
 
