@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from voxmill.llm import chunks, decontaminate, jaccard, pieces, toxicity
 from voxmill.llm.common import fresh_path, table
+from voxmill.session import discard
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +47,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents; what each returns is written as Parquet to the shared folder and read back."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to documents; what each returns is written as Parquet to the shared folder and read back, and its input deleted."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = fresh_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
     return docs

@@ -50,7 +50,7 @@ def test_leaks_by_brute_force(spark, docs_of, prose):
                 leak[k] = r.choice(["", "zz", "q"])
             text = text + " " + "".join(leak).upper() + "\n\t " + text
         rows.append((i, text))
-    bench = spark.createDataFrame([*enumerate(items), (7, None), (8, ""), (9, "short one")], "item_id long, text string")
+    bench = spark.createDataFrame([*enumerate(items), (7, None), (8, ""), (9, "no one has it")], "item_id long, text string")
     got = {(x.doc_id, x.item_id): x.n_edits for x in decontaminate.matches(docs_of(rows), bench).collect()}
     want = {}
     for i, text in rows:
@@ -66,6 +66,15 @@ def test_leaks_by_brute_force(spark, docs_of, prose):
     assert kept.columns == docs_of([]).columns
 
 
+def test_short_items(spark, docs_of):
+    """Below 30 characters an item counts as whole words without edits; one or two short words don't count."""
+    bench = spark.createDataFrame([(1, "What is Zorb's law?"), (2, "a cat"), (3, "the law"), (4, "佐布定律是什么呢这是一个问题"), (5, "red or blue"), (6, "Unhexoctiumate")], "item_id long, text string")
+    rows = [(1, "He asked: WHAT is\nzorb's law? twice: what is zorb's law?"), (2, "what is zorb's lawn"), (3, "the law of a cat"), (4, "他问佐布定律是什么呢这是一个问题吗"), (5, "bored or blue"), (6, "red or blue, unhexoctiumates"), (7, "what is zorbs law?"), (8, "unhexoctiumate")]
+    got = {(x.doc_id, x.item_id, x.n_edits) for x in decontaminate.matches(docs_of(rows), bench).collect()}
+    assert got == {(1, 1, 0), (4, 4, 0), (6, 5, 0), (8, 6, 0)}
+    assert {x.doc_id for x in decontaminate.without_leaks(docs_of(rows), bench).collect()} == {2, 3, 5, 7}
+
+
 def test_leaks_of_nothing(spark, docs_of):
     bench = spark.createDataFrame([(1, "a passage that is long enough to count")], "item_id long, text string")
     assert decontaminate.matches(docs_of([(None, None), (1, ""), (2, "x")]), bench).count() == 0

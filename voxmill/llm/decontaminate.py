@@ -11,6 +11,7 @@ size; documents are scanned once a block.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 from voxmill.llm.common import small_batches, spread, table, texts_of
 
 ERROR_RATE = 0.10
-#: Shorter items are left out: they are phrases that clean texts hold too.
-MIN_CHARS = 30
+#: Shorter items must lie in a text as whole words and without edits: with edits they are phrases that clean texts hold too.
+WHOLE_CHARS = 30
+#: Items of fewer words and fewer characters are words, not tests, and match nothing.
+LEAST_WORDS, LEAST_CHARS = 3, 12
 BLOCK_CHARS = 2_000_000
 
 _SPACE = re.compile(r"\s+")
@@ -34,7 +37,20 @@ def normal(text: str | None) -> str:
 
 
 def budget(item: str, rate: float = ERROR_RATE) -> int:
-    return int(rate * len(item))
+    return int(rate * len(item)) if len(item) >= WHOLE_CHARS else 0
+
+
+def is_test(item: str) -> bool:
+    return len(item) >= LEAST_CHARS or item.count(" ") >= LEAST_WORDS - 1
+
+
+def at_borders(text: str, start: int, end: int) -> bool:
+    """Whether a stretch neither begins nor ends within a word; scripts without spaces between words have no such borders."""
+
+    def joined(i: int) -> bool:
+        return 0 < i < len(text) and all(c.isalnum() and ord(c) < 0x2E80 for c in text[i - 1 : i + 1])
+
+    return not joined(start) and not joined(end)
 
 
 def pieces(item: str, k: int) -> list[tuple[int, str]]:
@@ -105,9 +121,14 @@ class Index:
         if self.empty or not text:
             return []
         stretches: dict[int, list[list[int]]] = {}
+        short: dict[int, int] = {}
         for last, (size, places) in self.automaton.iter(text):
             for n, offset, (at, whole, edits, peq) in places:
                 start = last + 1 - size - offset
+                if len(self.items[n][1]) < WHOLE_CHARS:  # its one piece is the item
+                    if n not in short and at_borders(text, start, last + 1):
+                        short[n] = last + 1
+                    continue
                 begin = start + at
                 if begin < 0 or not text.startswith(whole, begin):
                     if myers(peq, len(whole), text[max(0, begin - edits) : begin + len(whole) + edits], edits) is None:
@@ -120,7 +141,7 @@ class Index:
                     own[-1] = [min(low, own[-1][0]), max(high, own[-1][1])]
                 else:
                     own.append([low, high])
-        out = []
+        out = [(self.items[n][0], 0, end) for n, end in short.items()]
         for n, own in stretches.items():
             ident, item, k, peq = self.items[n]
             best = None
@@ -137,12 +158,23 @@ class Index:
         return sorted(out)
 
 
-def _blocks(benchmark: DataFrame, block_chars: int, min_chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in normal form, in blocks of bounded size; rows without id or text, and short ones, are left out."""
+_built: dict[str, Index] = {}
+
+
+def built(key: str, items: list[tuple[int, str]], rate: float) -> Index:
+    """The index of a block of items, which a worker process keeps from task to task until it meets another block."""
+    if key not in _built:
+        _built.clear()
+        _built[key] = Index(items, rate)
+    return _built[key]
+
+
+def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+    """The items in normal form, in blocks of bounded size; rows without id or text are left out."""
     block, total = [], 0
     for row in benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").toLocalIterator():
         text = normal(row["text"])
-        if len(text) < min_chars:
+        if not is_test(text):
             continue
         if block and total + len(text) > block_chars:
             yield block
@@ -153,15 +185,16 @@ def _blocks(benchmark: DataFrame, block_chars: int, min_chars: int) -> Iterator[
         yield block
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id, n_edits for each document row and benchmark item that lies in its text with at most rate * length edits.
 
-    Null and empty texts and items match nothing, nor do items of fewer than min_chars characters. Repeated documents or
-    items match each. An empty benchmark gives no rows.
+    Items of fewer than WHOLE_CHARS characters match as whole words without edits. Null and empty texts and items match nothing, nor do items
+    of one or two short words. Repeated documents or items match each; of an item's places with equally few edits in a text one counts. An empty benchmark
+    gives no rows.
     """
     spark = docs.sparkSession
     out = None
-    for block in _blocks(benchmark, block_chars, min_chars):
+    for block in _blocks(benchmark, block_chars):
         shipped = spark.sparkContext.broadcast(block)  # bounded by block_chars
         found = docs.select("doc_id", "text").mapInArrow(_matcher(shipped, rate), "doc_id long, item_id long, n_edits long")
         out = found if out is None else out.unionByName(found)
@@ -169,8 +202,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, min
 
 
 def _matcher(shipped, rate: float):
+    key = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(shipped.value, rate)
+        index = built(key, shipped.value, rate)
         for batch in small_batches(batches, "text"):
             doc, item, edits = [], [], []
             for i, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
@@ -187,14 +222,16 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the rows that hold a benchmark item; the scan marks rows in place, so nothing is joined or shuffled."""
     spark = docs.sparkSession
     out = docs
-    for block in _blocks(benchmark, BLOCK_CHARS, MIN_CHARS):
+    for block in _blocks(benchmark, BLOCK_CHARS):
         out = out.mapInArrow(_filter(spark.sparkContext.broadcast(block), ERROR_RATE), docs.schema)
     return out
 
 
 def _filter(shipped, rate: float):
+    key = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(shipped.value, rate)
+        index = built(key, shipped.value, rate)
         for batch in small_batches(batches, "text"):
             yield batch.filter(pa.array([not index.matches(normal(t)) for t in texts_of(batch)], pa.bool_()))
 
