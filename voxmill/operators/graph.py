@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from voxmill.session import cut
 
 
+#: Edges that one task takes at least, so that small graphs don't make many tasks and files a round.
+EDGES = 50_000
+
+
 def _mark(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v") % 1_000_003).alias("s"), F.sum(F.xxhash64("v", "u") % 999_983).alias("t")).first()
     return tuple(row)
@@ -23,10 +27,13 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while before != (now := _mark(e)):
         before = now
+        # a round makes no more edges than twice those it has, so their number bounds its tasks
+        tasks = max(1, -(-now[0] // EDGES))
+        e = e.coalesce(tasks)
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        least = both.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks).select("u", F.least("u", "m").alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").coalesce(tasks).distinct().coalesce(tasks)
+        least = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks)
+        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks)
+        e = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct().coalesce(tasks))
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
