@@ -40,6 +40,8 @@ SIMILARITY = 0.8
 RUNS = 10
 BRANCH = 1.25
 LEVELS = 4
+#: Rows that one task takes at least, of sets and of large buckets.
+ROWS = 20_000
 #: Minima of each run and level that a document of a large bucket goes on with.
 SPLIT = 2
 #: Documents of a bucket or block that one brute-force step compares.
@@ -276,42 +278,59 @@ def _blocks(rows: DataFrame, key: str, leaf: int) -> DataFrame:
     return whole.unionByName(pairs.drop("first", "many", "other", "rests"))
 
 
-def _held_against_pivots(large: DataFrame, reps: DataFrame) -> DataFrame:
+def tasks_for(rows: int) -> int:
+    return max(1, -(-rows // ROWS))
+
+
+def few(df: DataFrame) -> DataFrame:
+    """A table that was written down, in tasks of ROWS rows or more."""
+    return df.coalesce(tasks_for(df.count()))
+
+
+def _held_against_pivots(large: DataFrame, reps: DataFrame, tasks: int) -> DataFrame:
     """(path, run, sid, place, n, star) of the rows of large buckets (path, run, sid, place, n): star is a pivot that a row is alike to, or null."""
-    rows = large.join(reps.select("sid", "sketch"), "sid")
+    rows = large.join(reps.select("sid", "sketch"), "sid").coalesce(tasks)
     # the same in every bucket, so that buckets of about the same documents have the same pivots and stars
     at = F.xxhash64(F.lit("pivot"), "place")
-    chosen = rows.groupBy("path", F.pmod(at, F.lit(PIVOTS)).alias("nth")).agg(F.min(F.struct(at.alias("at"), "sid", "sketch")).alias("x"))
-    pivots = chosen.groupBy("path").agg(F.sort_array(F.collect_list("x")).alias("x")).select("path", F.transform("x", lambda x: F.struct(x["sid"].alias("sid"), x["sketch"].alias("sketch"))).alias("pivots"))
-    return rows.join(pivots, "path").select("path", "run", "sid", "place", "n", "sketch", "pivots").mapInArrow(_stars, "path long, run int, sid long, place long, n long, star long")
+    chosen = rows.groupBy("path", F.pmod(at, F.lit(PIVOTS)).alias("nth")).agg(F.min(F.struct(at.alias("at"), "sid", "sketch")).alias("x")).coalesce(tasks)
+    pivots = chosen.groupBy("path").agg(F.sort_array(F.collect_list("x")).alias("x")).coalesce(tasks).select("path", F.transform("x", lambda x: F.struct(x["sid"].alias("sid"), x["sketch"].alias("sketch"))).alias("pivots"))
+    met = rows.join(pivots, "path").coalesce(tasks)
+    return met.select("path", "run", "sid", "place", "n", "sketch", "pivots").mapInArrow(_stars, "path long, run int, sid long, place long, n long, star long")
 
 
-def _candidates(reps: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
-    """What is compared, as (path, part, sid), and the stars of large buckets, as edges (u, v)."""
+def _candidates(reps: DataFrame, leaf: int) -> DataFrame:
+    """Edges (u, v) between sets whose sketches are alike in some bucket: stars of large buckets, and what blocks give.
+
+    What is left to split may be little, in as many parts as all had, so each level takes tasks by its number of rows.
+    """
     lists = reps.select("sid", "place", F.posexplode("keys").alias("run", "own"))
     rows = lists.select("sid", "place", "run", F.explode("own").alias("key")).select("sid", "place", "run", F.xxhash64("run", "key").alias("path")).distinct()
     found, edges = [], []
     for level in range(1, LEVELS + 1):
         counts = rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-        met = rows.join(counts, "path")
-        if level > 1:
-            met = cut(met)
+        if level == 1:
+            met = rows.join(counts, "path")
+            large = cut(met.where(F.col("n") > leaf))
+        else:
+            met = cut(rows.join(counts.coalesce(tasks), "path").coalesce(tasks))
+            large = met.where(F.col("n") > leaf)
         found.append(met.where(F.col("n") <= leaf).select("path", F.lit(0).cast("long").alias("part"), "sid"))
-        large = met.where(F.col("n") > leaf)
-        stars = cut(_held_against_pivots(cut(large) if level == 1 else large, reps))
-        if stars.isEmpty():
+        n_rows = large.count()
+        if not n_rows:
             break
+        tasks = tasks_for(n_rows)
+        stars = cut(_held_against_pivots(large.coalesce(tasks), reps, tasks))
         edges.append(stars.where("star != sid").select(F.col("sid").alias("u"), F.col("star").alias("v")))
-        left = stars.groupBy("path").agg(F.count(F.when(F.col("star").isNull(), 1)).alias("left"))
-        stars = stars.join(left, "path").withColumn("rest", F.col("star").isNull())
+        left = stars.groupBy("path").agg(F.count(F.when(F.col("star").isNull(), 1)).alias("left")).coalesce(tasks)
+        stars = stars.join(left, "path").coalesce(tasks).withColumn("rest", F.col("star").isNull())
         done = F.lit(True) if level == LEVELS else F.col("left") <= leaf
         found.append(_blocks(stars.where(done).select("path", "sid", "place", "n", "rest"), "path", leaf).select("path", "part", "sid"))
         if level == LEVELS:
             break
         nth = F.explode(F.sequence(F.lit(0), F.lit(SPLIT - 1)))
-        on = stars.where(~done).select("path", "run", "sid", "place").join(reps.select("sid", "splits"), "sid").withColumn("nth", nth)
+        on = stars.where(~done).select("path", "run", "sid", "place").join(reps.select("sid", "splits"), "sid").coalesce(tasks).withColumn("nth", nth)
         key = F.substring("splits", ((F.col("run") * (LEVELS - 1) + level - 1) * SPLIT + F.col("nth")) * 4 + 1, F.lit(4))
-        rows = on.select("sid", "place", "run", F.xxhash64("path", "nth", key).alias("path")).distinct()
+        rows = on.select("sid", "place", "run", F.xxhash64("path", "nth", key).alias("path")).distinct().coalesce(tasks)
     leaves = found[0]
     for more in found[1:]:
         leaves = leaves.unionByName(more)
@@ -351,9 +370,9 @@ def _classes(docs: DataFrame, similarity: float, leaf: int) -> tuple[DataFrame,
     # the row with the least id stands for a set; its text is found again by id and hash
     stands = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash")))
     sets = features.groupBy("digest").agg(stands.alias("stands"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("sketch", "splits", "keys")])
-    sets = cut(sets.select("digest", "stands", "copies", "sketch", "splits", "keys", F.xxhash64("digest").alias("place"), F.monotonically_increasing_id().alias("sid")))
+    sets = few(cut(sets.select("digest", "stands", "copies", "sketch", "splits", "keys", F.xxhash64("digest").alias("place"), F.monotonically_increasing_id().alias("sid"))))
     reps = sets.where("stands IS NOT NULL AND size(keys) > 0")
-    groups = cut(components(_candidates(reps, leaf)).withColumnRenamed("id", "sid"))
+    groups = few(cut(components(_candidates(reps, leaf)).withColumnRenamed("id", "sid")))
     sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
     members = groups.join(sizes, "component").join(reps.select("sid", "copies", "place", "stands.doc_id", "stands.text_hash"), "sid")
     texts = members.join(hashed, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
