@@ -287,22 +287,24 @@ def few(df: DataFrame) -> DataFrame:
     return df.coalesce(tasks_for(df.count()))
 
 
-def _held_against_pivots(large: DataFrame, reps: DataFrame, tasks: int) -> DataFrame:
+def _held_against_pivots(large: DataFrame, reps: DataFrame, tasks: int, with_reps: int) -> DataFrame:
     """(path, run, sid, place, n, star) of the rows of large buckets (path, run, sid, place, n): star is a pivot that a row is alike to, or null."""
-    rows = large.join(reps.select("sid", "sketch"), "sid").coalesce(tasks)
+    rows = large.join(reps.select("sid", "sketch"), "sid").coalesce(with_reps)
     # the same in every bucket, so that buckets of about the same documents have the same pivots and stars
     at = F.xxhash64(F.lit("pivot"), "place")
     chosen = rows.groupBy("path", F.pmod(at, F.lit(PIVOTS)).alias("nth")).agg(F.min(F.struct(at.alias("at"), "sid", "sketch")).alias("x")).coalesce(tasks)
     pivots = chosen.groupBy("path").agg(F.sort_array(F.collect_list("x")).alias("x")).coalesce(tasks).select("path", F.transform("x", lambda x: F.struct(x["sid"].alias("sid"), x["sketch"].alias("sketch"))).alias("pivots"))
-    met = rows.join(pivots, "path").coalesce(tasks)
+    met = rows.join(pivots, "path").coalesce(with_reps)
     return met.select("path", "run", "sid", "place", "n", "sketch", "pivots").mapInArrow(_stars, "path long, run int, sid long, place long, n long, star long")
 
 
 def _candidates(reps: DataFrame, leaf: int) -> DataFrame:
     """Edges (u, v) between sets whose sketches are alike in some bucket: stars of large buckets, and what blocks give.
 
-    What is left to split may be little, in as many parts as all had, so each level takes tasks by its number of rows.
+    What is left to split may be little, in as many parts as all had, so each level takes tasks by its number of rows; a join with all sets
+    takes as many as these need.
     """
+    for_reps = tasks_for(reps.count())
     lists = reps.select("sid", "place", F.posexplode("keys").alias("run", "own"))
     rows = lists.select("sid", "place", "run", F.explode("own").alias("key")).select("sid", "place", "run", F.xxhash64("run", "key").alias("path")).distinct()
     found, edges = [], []
@@ -319,7 +321,8 @@ def _candidates(reps: DataFrame, leaf: int) -> DataFrame:
         if not n_rows:
             break
         tasks = tasks_for(n_rows)
-        stars = cut(_held_against_pivots(large.coalesce(tasks), reps, tasks))
+        with_reps = max(tasks, for_reps)
+        stars = cut(_held_against_pivots(large.coalesce(tasks), reps, tasks, with_reps))
         edges.append(stars.where("star != sid").select(F.col("sid").alias("u"), F.col("star").alias("v")))
         left = stars.groupBy("path").agg(F.count(F.when(F.col("star").isNull(), 1)).alias("left")).coalesce(tasks)
         stars = stars.join(left, "path").coalesce(tasks).withColumn("rest", F.col("star").isNull())
@@ -328,7 +331,7 @@ def _candidates(reps: DataFrame, leaf: int) -> DataFrame:
         if level == LEVELS:
             break
         nth = F.explode(F.sequence(F.lit(0), F.lit(SPLIT - 1)))
-        on = stars.where(~done).select("path", "run", "sid", "place").join(reps.select("sid", "splits"), "sid").coalesce(tasks).withColumn("nth", nth)
+        on = stars.where(~done).select("path", "run", "sid", "place").join(reps.select("sid", "splits"), "sid").coalesce(with_reps).withColumn("nth", nth)
         key = F.substring("splits", ((F.col("run") * (LEVELS - 1) + level - 1) * SPLIT + F.col("nth")) * 4 + 1, F.lit(4))
         rows = on.select("sid", "place", "run", F.xxhash64("path", "nth", key).alias("path")).distinct().coalesce(tasks)
     leaves = found[0]
